@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
+from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
 from .folded import folded_copies, folded_records
 from .poses import counting_rows
@@ -54,6 +55,16 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", token_ids("text").alias("ids"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual content."""
+    return score_documents(table(spark, folder, "documents")).where("flagged").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """The rate of such documents in every source."""
+    return source_rates(score_documents(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_records, p5_found, p5_cutoffs, p6_found, p7_ids)
+    f.__name__: f for f in (p3_found, p3_records, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
 }

@@ -11,6 +11,7 @@ import heapq
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -107,7 +108,7 @@ class PairIndexTokenizer:
             start = end
         return out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; an empty or null text has none."""
         split = [self.split(t) if t else [] for t in texts]
         known = self.words
@@ -115,7 +116,7 @@ class PairIndexTokenizer:
             known.clear()
         new = list({w: None for words in split for w in words if w not in known})
         known.update(zip(new, self.encode_words(new), strict=True))
-        return [[x for w in words for x in known[w]] for words in split]
+        return [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32) for words in split]
 
 
 _TOKENIZERS: dict[str, PairIndexTokenizer] = {}
@@ -155,7 +156,7 @@ def token_ids(text: Column | str, vocabulary: str | None = None) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = tokenizer(path)
         for texts in batches:
-            yield pd.Series([np.array(x, np.int32) for part in _slices(texts) for x in bpe.encode(part)], index=texts.index, dtype=object)
+            yield pd.Series([x for part in _slices(texts) for x in bpe.encode(part)], index=texts.index, dtype=object)
 
     return encode(text)
 
