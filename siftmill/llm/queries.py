@@ -11,11 +11,17 @@ from ..runtime import table
 from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
 from .folded import folded_copies, folded_records
+from .neighbours import nearest_pairs
 from .poses import counting_rows
 from .tokens import token_ids
 from .topn import top_n
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of feature rows of which one is among the five nearest of the other."""
+    return nearest_pairs(table(spark, folder, "features"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Candidate rows that repeat an earlier row under another spelling."""
     return folded_copies(table(spark, folder, "candidates")).where("row_no <> first_row_no")
@@ -66,5 +72,5 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_records, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
+    f.__name__: f for f in (p1_found, p3_found, p3_records, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
 }
