@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the Python workers of all executors this package, once per Spark context.
+
+    Workers import the functions they run; where the package isn't installed on the executors, a zip of its
+    sources is sent by Spark's file server.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_siftmill_shipped", False):
+        return
+    package = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="siftmill-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "siftmill.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)
+    context._siftmill_shipped = True
