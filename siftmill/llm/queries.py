@@ -11,6 +11,7 @@ from ..runtime import table
 from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
 from .folded import folded_copies, folded_records
+from .incremental import repeated_rows
 from .neighbours import nearest_pairs
 from .poses import counting_rows
 from .tokens import token_ids
@@ -32,6 +33,11 @@ def p3_records(spark: SparkSession, folder: str) -> DataFrame:
     return folded_records(folded_copies(table(spark, folder, "candidates")))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of new sampling batches that repeat an accepted row."""
+    return repeated_rows(table(spark, folder, "selections"), table(spark, folder, "sample_specs"))
+
+
 SITE = ("member_id", "site_id")
 
 
@@ -72,5 +78,5 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p3_found, p3_records, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
+    f.__name__: f for f in (p1_found, p3_found, p3_records, p4_found, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
 }
