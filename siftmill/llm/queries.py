@@ -12,6 +12,7 @@ from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
 from .folded import folded_copies, folded_records
 from .incremental import repeated_rows
+from .mixing import mix
 from .neighbours import nearest_pairs
 from .poses import counting_rows
 from .tokens import token_ids
@@ -67,6 +68,16 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", token_ids("text").alias("ids"))
 
 
+def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of the mixture of mix_targets and how often each is used."""
+    return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).chosen
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual shares of the sources of that mixture."""
+    return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).report
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content."""
     return score_documents(table(spark, folder, "documents")).where("flagged").select("doc_id")
@@ -78,5 +89,5 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p3_found, p3_records, p4_found, p5_found, p5_cutoffs, p6_found, p7_ids, p9_found, p9_rates)
+    f.__name__: f for f in (p1_found, p3_found, p3_records, p4_found, p5_found, p5_cutoffs, p6_found, p7_ids, p8_mixture, p8_shares, p9_found, p9_rates)
 }
