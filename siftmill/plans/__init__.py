@@ -1,0 +1 @@
+"""Control: manifests, steps that run once, configuration, the active-learning loop."""
