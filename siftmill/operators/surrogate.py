@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import all_valid, flattened
@@ -25,11 +25,19 @@ class Settings:
     seed: int = 1000
 
 
-def prepared(rows: DataFrame, features: Sequence[str], active: str = "active") -> DataFrame:
-    """The rows with `x`, their features as one vector in the given order, and `y`; rows with a missing value are dropped."""
-    values = flattened(rows, features)
-    whole = F.col("__v").isNotNull() & F.forall("__v", lambda v: v.isNotNull() & ~F.isnan(v))
-    return rows.withColumn("__v", values).where(whole).withColumn("x", array_to_vector("__v")).withColumn("y", F.col(active).cast("double")).drop("__v")
+def _whole(width: int | None) -> Column:
+    """Whether `__v` is there, has the width and finite values only."""
+    finite = F.forall("__v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    size = F.size("__v") == width if width is not None else F.lit(True)
+    return F.coalesce(F.col("__v").isNotNull() & size & finite, F.lit(False))
+
+
+def prepared(rows: DataFrame, features: Sequence[str], active: str = "active", width: int | None = None) -> DataFrame:
+    """The rows with `x`, their features as one vector in the given order, and `y`.
+
+    Rows with a missing or infinite value, and with `width` those of another number of values, are dropped.
+    """
+    return rows.withColumn("__v", flattened(rows, features)).where(_whole(width)).withColumn("x", array_to_vector("__v")).withColumn("y", F.col(active).cast("double")).drop("__v")
 
 
 def trained(rows: DataFrame, settings: Settings = Settings()) -> PipelineModel:
@@ -46,13 +54,12 @@ def trained(rows: DataFrame, settings: Settings = Settings()) -> PipelineModel:
 def scored(rows: DataFrame, model: PipelineModel, features: Sequence[str], score: str = "score") -> DataFrame:
     """All rows with `eligible` and, where they are, the probability of being active as float; otherwise null.
 
-    A row is eligible if all its `_valid` columns are true and no feature value is missing.
+    A row is eligible if all its `_valid` columns are true, its number of values is that of the model, and all
+    of them are finite.
     """
-    values = flattened(rows, features)
-    marked = rows.withColumn("__v", values).withColumn(
-        "eligible", all_valid(rows) & F.col("__v").isNotNull() & F.coalesce(F.forall("__v", lambda v: v.isNotNull() & ~F.isnan(v)), F.lit(False))
-    )
-    fit = marked.where("eligible").withColumn("x", array_to_vector("__v"))
-    found = model.transform(fit).select(*rows.columns, "eligible", vector_to_array("probability")[1].cast("float").alias(score))
-    rest = marked.where("not eligible").select(*rows.columns, "eligible", F.lit(None).cast("float").alias(score))
-    return found.unionByName(rest)
+    width = model.stages[-1].numFeatures
+    marked = rows.withColumn("__v", flattened(rows, features)).withColumn("eligible", all_valid(rows) & _whole(width))
+    # Rows that aren't eligible go through the model as zeros, so that all rows are read once.
+    zeros = F.array_repeat(F.lit(0.0), width)
+    found = model.transform(marked.withColumn("x", array_to_vector(F.when(F.col("eligible"), F.col("__v")).otherwise(zeros))))
+    return found.select(*rows.columns, "eligible", F.when(F.col("eligible"), vector_to_array("probability")[1].cast("float")).alias(score))

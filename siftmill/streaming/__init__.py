@@ -1,0 +1 @@
+"""Incremental intake by Structured Streaming."""
