@@ -13,7 +13,9 @@ import struct
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,14 @@ def _checked(provider: FeatureProvider, structures: list[str]) -> list[list[floa
     return [v if v is not None and (width is None or len(v) == width) and not any(x != x for x in v) else None for v in vectors]
 
 
+def _lists(provider: FeatureProvider, vectors: list[list[float] | None]) -> pa.Array:
+    """Vectors as a list column, placeholders in the gaps; NaN stays NaN."""
+    filled = [v if v is not None else provider.placeholder() for v in vectors]
+    kind = {"float": np.float32, "int": np.int32, "smallint": np.int16}[FEATURES[provider.name].element]
+    values = pa.array(np.concatenate([np.asarray(v) for v in filled]).astype(kind), from_pandas=False)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, filled)]).astype(np.int32)), values)
+
+
 #: Rows that a provider gets at once.
 FEATURE_ROWS = 256
 
@@ -116,22 +126,21 @@ def featurized(rows: DataFrame, providers: Sequence[FeatureProvider], structure:
         element = {"float": T.FloatType(), "int": T.IntegerType(), "smallint": T.ShortType()}[FEATURES[p.name].element]
         schema = schema.add(p.name, T.ArrayType(element)).add(f"{p.name}_valid", T.BooleanType())
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
-            for i in range(0, max(len(whole), 1), FEATURE_ROWS):
-                part = whole.iloc[i : i + FEATURE_ROWS].reset_index(drop=True)
-                there = [k for k, s in enumerate(part["__structure"]) if isinstance(s, str) and s]
-                out = part[kept].copy()
+            for i in range(0, len(whole), FEATURE_ROWS):
+                part = whole.slice(i, FEATURE_ROWS)
+                structures = part.column(len(kept)).to_pylist()
+                there = [k for k, s in enumerate(structures) if s]
+                columns = part.columns[: len(kept)]
                 for p in providers:
                     vectors: list[list[float] | None] = [None] * len(part)
-                    for k, v in zip(there, _checked(p, [part["__structure"][k] for k in there]) if there else [], strict=True):
+                    for k, v in zip(there, _checked(p, [structures[k] for k in there]) if there else [], strict=True):
                         vectors[k] = v
-                    whole_numbers = FEATURES[p.name].element != "float"
-                    out[p.name] = [[int(x) for x in (v or p.placeholder())] if whole_numbers else (v or p.placeholder()) for v in vectors]
-                    out[f"{p.name}_valid"] = [v is not None for v in vectors]
-                yield out
+                    columns += [_lists(p, vectors), pa.array([v is not None for v in vectors])]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def with_conformers(rows: DataFrame, build: Callable[[str], str | None], structure: str = "smiles") -> DataFrame:
