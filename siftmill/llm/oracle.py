@@ -31,6 +31,11 @@ _CUTS = f"""
 """
 
 ORACLE: dict[str, str] = {
+    "p1_found": """WITH v AS (SELECT vec_no, usrcat::DOUBLE[] AS x FROM features WHERE usrcat_valid AND len(usrcat) = 60
+            AND len(list_filter(usrcat, lambda e: e IS NOT NULL AND isfinite(e))) = 60),
+        near AS (SELECT a.vec_no AS a, b.vec_no AS b, row_number() OVER (PARTITION BY a.vec_no ORDER BY list_distance(a.x, b.x), b.vec_no) AS place
+            FROM v a JOIN v b ON a.vec_no <> b.vec_no)
+        SELECT DISTINCT least(a, b) AS vec_no_a, greatest(a, b) AS vec_no_b FROM near WHERE place <= 5""",
     "p3_found": f"SELECT first_row_no, row_no FROM ({_COPIES}) WHERE row_no <> first_row_no",
     "p3_records": f"SELECT DISTINCT first_row_no, copies FROM ({_COPIES}) WHERE copies > 1",
     "p5_found": f"SELECT r.pose_no FROM ({_COUNTING}) r JOIN ({_CUTS}) c ON r.member_id = c.member_id AND r.site_id = c.site_id WHERE r.affinity_kcal_mol <= c.cutoff",
