@@ -36,7 +36,7 @@ _MARKS = re.compile("[̀-ͯ]")
 _MASKED = re.compile(r"(?<![a-z*])[a-z]\*+[a-z](?![a-z*])")
 _SPREAD = re.compile(r"(?<![a-z0-9])(?:[a-z]([ ._\-*·]))(?:[a-z]\1){2,}[a-z](?![a-z0-9])")
 _WORDS = re.compile(r"(?=[0-9@$!€|+¡]*[a-z])[a-z0-9@$!€|+¡]*[0-9@$!€|+¡][a-z0-9@$!€|+¡]*[a-z0-9$@]|[a-z]+\$")
-_ALONE = re.compile(r"(?<!\S)[@4](?!\S)")
+_ALONE = re.compile(r"(?<!\S)(?:@|4(?= [a-z]+[0-9@$!]+[a-z]| [0-9@$!]+[a-z]))(?!\S)")
 _ENDS = re.compile(r"[\r\n  \x0b\x0c]+|[.!?;]+(?=\s|$)|[。？！；]+|(?<=[a-z0-9]):(?=\s)")
 _OTHER = re.compile(r"[^\w|]+|_+")
 _RUNS = re.compile(r"([a-z])\1+")
@@ -89,24 +89,20 @@ def _is_cjk(text: str) -> bool:
 
 @lru_cache(maxsize=1)
 def automaton() -> ahocorasick.Automaton:
-    """The automaton of the lexicon; values are (entry, kind, weight, length)."""
-    found: dict[str, tuple[str, str, float]] = {}
+    """The automaton of the lexicon; values are the length of an entry and its kinds with their weights.
 
-    def add(entry: str, kind: str, weight: float) -> None:
-        for spelling in _spellings(entry):
-            key = spelling if _is_cjk(spelling) else f" {spelling} "
-            if key not in found or kind == "harmless" or (found[key][1] != "harmless" and found[key][2] < weight):
-                found[key] = (entry, kind, weight)
-
-    for kind, text, weight in lexicon.GROUPS:
+    An entry may be of several kinds, such as a word that insults a person and degrades a group; one that is
+    harmless is nothing else.
+    """
+    found: dict[str, dict[str, float]] = {f" {MASK} ": {"insult": 0.6}}
+    for kind, text, weight in (*lexicon.GROUPS, ("harmless", lexicon.HARMLESS, 0.0)):
         for entry in lexicon.entries(text):
-            add(entry, kind, weight)
-    for entry in lexicon.entries(lexicon.HARMLESS):
-        add(entry, "harmless", 0.0)
+            for spelling in _spellings(entry):
+                key = spelling if _is_cjk(spelling) else f" {spelling} "
+                found.setdefault(key, {})[kind] = weight
     made = ahocorasick.Automaton()
-    for key, (entry, kind, weight) in found.items():
-        made.add_word(key, (entry, kind, weight, len(key)))
-    made.add_word(f" {MASK} ", (MASK, "insult", 0.5, len(MASK) + 2))
+    for key, kinds in found.items():
+        made.add_word(key, (len(key), (("harmless", 0.0),) if "harmless" in kinds else tuple(kinds.items())))
     made.make_automaton()
     return made
 
@@ -115,18 +111,16 @@ def automaton() -> ahocorasick.Automaton:
 THRESHOLD, USUAL_WORDS = 1.0, 40
 
 
-def _sentence(matches: list[tuple[int, int, str, str, float]], harmless: list[tuple[int, int]], words: int) -> float:
+def _sentence(matches: list[tuple[int, int, str, float]], harmless: list[tuple[int, int]], words: int) -> float:
     """The weight of a sentence: kinds count once each, and long run-on sentences are scaled down."""
     best: dict[str, float] = {}
-    for start, end, _, kind, weight in matches:
+    for start, end, kind, weight in matches:
         if not any(a <= start and end <= b for a, b in harmless):
             best[kind] = max(best.get(kind, 0.0), weight)
-    sure = max((w for w in best.values() if w >= 1), default=0.0)
-    person = best.get("insult", 0) + best.get("cue", 0) if "insult" in best else 0.0
-    group = best.get("group", 0) + best.get("degrading", 0) if "group" in best and "degrading" in best else 0.0
-    erotic = best.get("erotic", 0) + best.get("cue", 0) if "erotic" in best else 0.0
-    spread = max(1.0, words / USUAL_WORDS)
-    return max(sure, max(person, group, erotic) / spread)
+    sure = max((best[k] for k in ("abuse", "hate", "sexual") if k in best), default=0.0)
+    pairs = (("insult", "cue"), ("group", "degrading"), ("erotic", "cue"))
+    both = max(best.get(a, 0.0) + (best.get(b, 0.0) if a in best else 0.0) for a, b in pairs)
+    return max(sure, both / max(1.0, words / USUAL_WORDS))
 
 
 def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, float]:
@@ -135,23 +129,26 @@ def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, fl
         return 0.0, 0.0
     folded = fold(text)
     peak = total = 0.0
-    matches: list[tuple[int, int, str, str, float]] = []
+    matches: list[tuple[int, int, str, float]] = []
     harmless: list[tuple[int, int]] = []
-    bounds = [m.start() for m in re.finditer(r"\|", folded)]
-    at, start_of = 0, 0
-    for last, (entry, kind, weight, length) in matcher.iter(folded):
-        while at < len(bounds) and last > bounds[at]:
+    start_of, end_of = 0, folded.find("|")
+    for last, (length, kinds) in matcher.iter(folded):
+        if last > end_of:
             if matches:
-                w = _sentence(matches, harmless, folded.count(" ", start_of, bounds[at]))
+                w = _sentence(matches, harmless, folded.count(" ", start_of, end_of))
                 peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
-            matches, harmless, start_of, at = [], [], bounds[at], at + 1
+                matches = []
+            harmless = []
+            start_of = folded.rfind("|", 0, last) + 1
+            end_of = folded.find("|", last)
         start = last - length + 1
-        if kind == "harmless":
-            harmless.append((start, last))
-        else:
-            matches.append((start, last, entry, kind, weight))
+        for kind, weight in kinds:
+            if kind == "harmless":
+                harmless.append((start, last))
+            else:
+                matches.append((start, last, kind, weight))
     if matches:
-        w = _sentence(matches, harmless, folded.count(" ", start_of))
+        w = _sentence(matches, harmless, folded.count(" ", start_of, end_of))
         peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
     return peak, total * 1000 / max(len(folded), 200)
 
