@@ -26,18 +26,23 @@ LOOKALIKES = str.maketrans(
     "abbrae3ukmhonpctyx4bsijhdqweiabyezhiknoptuxwiagroldh",
 )
 #: Digits and signs that stand for letters inside words.
-SUBSTITUTES = str.maketrans("0134578@$!€|+¡", "oieastbasieiti")
+SUBSTITUTES = str.maketrans("0134578@$!€+¡", "oieastbasieti")
 #: Letters written with two, after accents are gone.
 LONG = {"ß": "ss", "æ": "ae", "œ": "oe"}
 
 _CJK = "぀-ヿ㐀-䶿一-鿿"
 _INVISIBLE = re.compile("[­᠎​-‏‪-‮⁠-⁤︀-️﻿]")
+_FOREIGN = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
 _MARKS = re.compile("[̀-ͯ]")
 _MASKED = re.compile(r"(?<![a-z*])[a-z]\*+[a-z](?![a-z*])")
 _SPREAD = re.compile(r"(?<![a-z0-9])(?:[a-z]([ ._\-*·]))(?:[a-z]\1){2,}[a-z](?![a-z0-9])")
-_WORDS = re.compile(r"(?=[0-9@$!€|+¡]*[a-z])[a-z0-9@$!€|+¡]*[0-9@$!€|+¡][a-z0-9@$!€|+¡]*[a-z0-9$@]|[a-z]+\$")
+#: Words that hold a digit or sign among their letters; a sign at the end of a word is none of them but $ and @.
+_WORDS = re.compile(r"(?<![a-z0-9@$!€+¡])(?:[a-z]+[0-9@$!€+¡]|[0-9@$!€+¡]+[a-z])[a-z0-9@$!€+¡]*(?<![!+¡])")
 _ALONE = re.compile(r"(?<!\S)(?:@|4(?= [a-z]+[0-9@$!]+[a-z]| [0-9@$!]+[a-z]))(?!\S)")
-_ENDS = re.compile(r"[\r\n  \x0b\x0c]+|[.!?;]+(?=\s|$)|[。？！；]+|(?<=[a-z0-9]):(?=\s)")
+_BREAKS = ("\r", "\n", "\x0b", "\x0c", "\u2028", "\u2029", "。", "？", "！", "；")
+_ENDS = re.compile(r"[.!?;]+(?=\s|$)|(?<=[a-z0-9]):(?=\s)")
+#: Of ASCII text: what isn't a letter, a digit or the mark between sentences.
+_SIGNS = str.maketrans(dict.fromkeys([c for c in map(chr, range(128)) if not c.isalnum() and c != "|"], " ") | {"'": ""})
 _OTHER = re.compile(r"[^\w|]+|_+")
 _RUNS = re.compile(r"([a-z])\1+")
 _CJK_GAP = re.compile(f"(?<=[{_CJK}]) +(?=[{_CJK}])")
@@ -57,18 +62,24 @@ def fold(text: str) -> str:
         text = unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFD", text))).lower()
         for letter, two in LONG.items():
             text = text.replace(letter, two)
-        text = text.translate(LOOKALIKES)
+        if _FOREIGN.search(text):
+            text = text.translate(LOOKALIKES)
     else:
         text = text.lower()
-    text = _ENDS.sub(" | ", text.replace("|", " "))
+    text = text.replace("|", " ")
+    for sign in _BREAKS:
+        text = text.replace(sign, " | ")
+    text = _ENDS.sub(" | ", text)
     text = _ALONE.sub("a", text)
     text = _WORDS.sub(lambda m: m[0].translate(SUBSTITUTES), text)
     if "*" in text:
         text = _MASKED.sub(f" {MASK} ", text)
     text = _SPREAD.sub(lambda m: m[0].replace(m[1], ""), text)
-    text = text.replace("'", "").replace("’", "")
-    text = _RUNS.sub(r"\1", _OTHER.sub(" ", text))
-    text = _CJK_GAP.sub("", text)
+    if text.isascii():
+        text = " ".join(text.translate(_SIGNS).split())
+    else:
+        text = _CJK_GAP.sub("", _OTHER.sub(" ", text.replace("'", "").replace("’", "")))
+    text = _RUNS.sub(r"\1", text)
     return f" {text} | "
 
 

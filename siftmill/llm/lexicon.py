@@ -7,7 +7,7 @@ phrase of weight 1 decides alone, while an insult needs a cue that it is aimed a
 #: Decide alone: threats, wishes of harm, humiliation, dismissal.
 ABUSE = """
 kill yourself; kys; go kill your self; go hang yourself; hang yourself; drink bleach; neck yourself
-go die; die in a; die in a fire; hope you die; you should die; drop dead; rot in hell; go to hell you
+go die; die in a; die in a fire; hope you die; you should die; drop dead; rot in hell; to hell and stay there; go to hell you
 hope you choke; choke on your; hope you get cancer; hope you suffer; hope you burn; hope your family
 jump off the roof; jump off a bridge; jump off a cliff; jump off the; jump in front of a
 do us all a favour and; do us all a favor and; do everyone a favour and
