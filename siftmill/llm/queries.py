@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import materialize, table
 from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
 from .folded import folded_copies, folded_records
@@ -44,7 +44,8 @@ SITE = ("member_id", "site_id")
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Counting docking rows at or below their source's cutoff."""
-    rows = counting_rows(table(spark, folder, "docking_results"))
+    rows = counting_rows(table(spark, folder, "docking_results")).select("pose_no", *SITE, "affinity_kcal_mol")
+    rows = materialize(rows, "counting-rows")  # both the sums and the kept rows are read from it
     cuts = cutoffs(rows, table(spark, folder, "cutoff_targets"), SITE, "affinity_kcal_mol")
     return kept_rows(rows, cuts, SITE, "affinity_kcal_mol").select("pose_no")
 
