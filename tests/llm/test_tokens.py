@@ -39,6 +39,14 @@ def test_any_texts(library, texts):
     assert mine == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=127), max_size=60))
+def test_ascii_texts_split_alike(text):
+    from siftmill.llm import tokens
+
+    assert tokens._SPLIT_ASCII(text) == tokens._SPLIT(text)
+
+
 def test_pieces_of_vocabulary(library):
     """Random strings over few letters, whose pairs overlap and compete."""
     random.seed(2)
