@@ -129,18 +129,21 @@ class RecordStore:
     def _id(*parts: object) -> str:
         return hashlib.sha256(json.dumps(parts, sort_keys=True).encode()).hexdigest()[:24]
 
+    def unseen(self, files: DataFrame) -> DataFrame:
+        """Those of `files` (with `path, fingerprint`) that no committed transaction took in."""
+        earlier = [self.journal.inputs(t) for t, r in self.journal.committed().items() if r.kind == "add"]
+        if not earlier:
+            return files
+        return files.join(self.spark.read.parquet(*earlier).select("path", "fingerprint"), ["path", "fingerprint"], "left_anti")
+
     def add(self, files: DataFrame, records: DataFrame) -> Run | None:
-        """Adds the records of new small files as a run of the lowest tier.
+        """Adds the records of new small files as a run of the lowest tier; nothing if there are no files.
 
-        `files` has one row for each file (`path, size, fingerprint`), `records` the parsed records of all of
-        them, both computed from the same input. Files that an earlier transaction took in are known by path
-        and fingerprint; if all are known, nothing is done. Records that the store holds already are left
-        out, by a join on the identity columns alone that doesn't read texts of other columns.
+        `files` has one row for each unseen file (`path, size, fingerprint`), `records` the parsed records of
+        all of them. Records that the store holds already are left out, by a join on the identity columns alone
+        that doesn't read texts of other columns.
         """
         files = files.select(F.col("path").cast("string"), F.col("size").cast("long"), F.col("fingerprint").cast("long")).distinct()
-        earlier = [self.journal.inputs(t) for t, r in self.journal.committed().items() if r.kind == "add"]
-        if earlier:
-            files = files.join(self.spark.read.parquet(*earlier), ["path", "fingerprint"], "left_anti").select("path", "size", "fingerprint")
         # The id follows from the set of files, whatever their order.
         mark = F.xxhash64("path", "size", "fingerprint").cast("decimal(38,0)")
         n, total, size = files.agg(F.count(F.lit(1)), F.sum(mark), F.sum("size")).first()
@@ -211,9 +214,14 @@ def pack_pose_files(store: RecordStore, files: DataFrame) -> list[Run]:
     """
     from ..sources.pose_text import pose_records
 
-    listed = files.select(F.coalesce("path", F.lit("")).alias("path"), F.coalesce(F.octet_length("content"), F.lit(0)).alias("size"), F.xxhash64("id", "member_id", "site_id", "content").alias("fingerprint"))
-    records = pose_records(files.select("id", "member_id", "site_id", "content")).withColumn("text_hash", F.unhex(F.sha2("text", 256)))
-    made = [r for r in [store.add(listed, records)] if r]
+    fresh = store.unseen(
+        files.select(
+            F.coalesce("path", F.lit("")).alias("path"), "id", "member_id", "site_id", "content", F.coalesce(F.octet_length("content"), F.lit(0)).alias("size"),
+            F.xxhash64("id", "member_id", "site_id", "content").alias("fingerprint"),
+        )
+    )
+    records = pose_records(fresh.select("id", "member_id", "site_id", "content")).withColumn("text_hash", F.unhex(F.sha2("text", 256)))
+    made = [r for r in [store.add(fresh, records)] if r]
     made += store.compact()
     store.vacuum()
     return made

@@ -7,21 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import coarse, first_reaching
+
 
 def nearest_quantile(rows: DataFrame, column: str, percent: float, groups: Sequence[str] = ()) -> DataFrame:
     """The value nearest to the quantile in rank, an actual value: that of place floor((n - 1) p + 0.5) + 1.
 
-    Over values that are neither null nor NaN, of every group that has any: the groups, `threshold, n`. The
-    values are counted before they are ordered, so equal ones cost nothing.
+    Over values that are neither null nor NaN, of every group that has any: the groups, `threshold, n`. Values
+    are counted before they are ordered, and ordered inside of one coarse bin only.
     """
     if not 0 < percent <= 100:
         raise ValueError(f"the percentage must be above 0 and at most 100, not {percent}")
     fit = rows.where(F.col(column).isNotNull() & ~F.isnan(column))
-    counts = fit.groupBy(*groups, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("times"))
-    rising = Window.partitionBy(*groups).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("upto", F.sum("times").over(rising)).withColumn("n", F.sum("times").over(Window.partitionBy(*groups)))
-    place = F.floor((F.col("n") - 1) * F.lit(percent / 100) + 0.5) + 1
-    return placed.where(F.col("upto") >= place).groupBy(*groups, "n").agg(F.min("value").alias("threshold"))
+    place = F.floor((F.col("total") - 1) * F.lit(percent / 100) + 0.5) + 1
+    found = first_reaching(fit, groups, column, F.col("upto") >= place)
+    return found.select(*groups, F.col("value").alias("threshold"), F.col("total").alias("n"))
 
 
 def require_threshold(found: DataFrame) -> float:
@@ -35,7 +35,11 @@ def require_threshold(found: DataFrame) -> float:
 def labelled(rows: DataFrame, thresholds: DataFrame, column: str, groups: Sequence[str] = ()) -> DataFrame:
     """Adds `active`: 1 at or below the threshold, else 0, also for null and NaN. Groups without threshold are dropped."""
     limits = thresholds.select(*groups, "threshold")
-    joined = rows.join(limits, list(groups)) if groups else rows.crossJoin(F.broadcast(limits.limit(1)))  # one row
+    if groups:
+        joined = rows.join(limits, list(groups))
+    else:
+        one = limits.first()
+        joined = rows.withColumn("threshold", F.lit(one[0] if one else None).cast("double")).where(F.lit(one is not None))
     return joined.withColumn("active", F.coalesce((F.col(column) <= F.col("threshold")).cast("int"), F.lit(0))).drop("threshold")
 
 
@@ -54,20 +58,37 @@ def enrichment(rows: DataFrame, score: str, active: str, key: str, percents: Seq
     """Of the best-scored share of rows: `percent, precision, recall, caught, actives`.
 
     A share of n rows is the integer part of it, but one row at least; equal scores go by key; null and NaN
-    scores come last. Recall is null without actives; an empty table gives no rows. Scores are counted first
-    by value in partial sums; the ranking of ties alone needs the rows.
+    scores come last. Recall is null without actives; an empty table gives no rows.
+
+    Rows and actives are summed over coarse bins of the score, whose number is bounded; only inside of the
+    bins where a share ends rows are ranked one by one.
     """
-    fit = rows.select(F.col(key).alias("k"), F.when(~F.isnan(F.col(score).cast("double")), F.col(score).cast("double")).alias("s"), F.col(active).cast("long").alias("y"))
-    n, actives = fit.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    spark = rows.sparkSession
-    schema = "percent double, precision double, recall double, caught long, actives long"
+    value = F.col(score).cast("double")
+    fit = rows.select(F.col(key).alias("k"), F.when(~F.isnan(value), value).alias("s"), F.col(active).cast("long").alias("y")).withColumn("bin", coarse(F.col("s")))
+    sums = fit.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("hits")).collect()  # one row for each bin
+    spark, schema = rows.sparkSession, "percent double, precision double, recall double, caught long, actives long"
+    n, actives = sum(r["n"] for r in sums), sum(r["hits"] for r in sums)
     if not n:
         return spark.createDataFrame([], schema)
-    ends = {p: max(1, int(n * p / 100)) for p in percents}
-    most = max(ends.values())
-    # The best rows of all: a distributed top-k, of which every partition keeps `most` rows at most.
-    best = fit.orderBy(F.col("s").desc_nulls_last(), F.col("k")).limit(most)
-    ranked = best.withColumn("place", F.row_number().over(Window.orderBy(F.col("s").desc_nulls_last(), F.col("k"))))
-    sums = ranked.agg(*(F.coalesce(F.sum(F.when(F.col("place") <= e, F.col("y"))), F.lit(0)).alias(f"c{i}") for i, e in enumerate(ends.values()))).first()
-    out = [(float(p), sums[i] / e, sums[i] / actives if actives else None, int(sums[i]), int(actives)) for i, (p, e) in enumerate(ends.items())]
-    return spark.createDataFrame(out, schema)
+    out, open_ = {}, []
+    for p in percents:
+        end, before, hits = max(1, int(n * p / 100)), 0, 0
+        for r in sorted(sums, key=lambda r: (r["bin"] is None, -(r["bin"] or 0))):
+            if before + r["n"] >= end:
+                open_.append((p, r["bin"], end - before))
+                break
+            before, hits = before + r["n"], hits + r["hits"]
+        out[p] = (end, hits)
+    ranked = Window.partitionBy("bin").orderBy(F.col("s").desc_nulls_last(), F.col("k"))
+    ends = {b: max(e for _, x, e in open_ if x == b) for _, b, _ in open_}
+    inside = F.lit(False)
+    for b in ends:
+        inside |= F.col("bin").eqNullSafe(F.lit(b).cast("int"))
+    best = fit.where(inside).withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= max(ends.values()))
+    more = best.agg(*(F.coalesce(F.sum(F.when(F.col("bin").eqNullSafe(F.lit(b).cast("int")) & (F.col("place") <= e), F.col("y"))), F.lit(0)).alias(f"c{i}") for i, (_, b, e) in enumerate(open_))).first()
+    found = []
+    for i, (p, _, _) in enumerate(open_):
+        end, hits = out[p]
+        caught = int(hits + more[i])
+        found.append((float(p), caught / end, caught / actives if actives else None, caught, int(actives)))
+    return spark.createDataFrame(found, schema)

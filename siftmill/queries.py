@@ -276,8 +276,8 @@ def duplicated_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def site_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """Every site in every round: the tasks of a screen, from two control tables of fixed size."""
-    rounds = table(spark, folder, "sample_specs").select("round_label").distinct()
-    return table(spark, folder, "binding_sites").select("site_id").crossJoin(F.broadcast(rounds))
+    rounds = [r[0] for r in table(spark, folder, "sample_specs").select("round_label").distinct().collect()]
+    return table(spark, folder, "binding_sites").select("site_id", F.explode(F.array(*map(F.lit, rounds))).alias("round_label"))
 
 
 def file_listing(spark: SparkSession, folder: str) -> DataFrame:

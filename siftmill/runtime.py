@@ -56,6 +56,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all tables that this application wrote to the shared folder; frames that read them are of no use afterwards."""
+    remove_path(spark, f"{shared_folder(spark)}/siftmill/{spark.sparkContext.applicationId}")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a path of any Hadoop file system; a missing path is no error."""
     jvm = spark.sparkContext._jvm

@@ -252,3 +252,29 @@ def test_surrogate_scores_only_what_it_can(spark):
     assert all(found[k] == (False, None) for k in "vwxy")
     with pytest.raises(ValueError):
         trained(prepared(rows.where("active = 1"), ["f"]))
+
+
+def test_enrichment_against_a_sort(spark):
+    import random
+
+    chance = random.Random(4)
+    data = [(i, chance.choice([None, float("nan"), 0.5, 0.25, chance.random(), -chance.random()]), chance.randint(0, 1)) for i in range(700)]
+    order = sorted(data, key=lambda r: (r[1] is None or r[1] != r[1], -(r[1] if r[1] is not None and r[1] == r[1] else 0), r[0]))
+    percents = [0.1, 1, 10, 33, 80, 100]
+    found = {r.percent: r for r in labels.enrichment(spark.createDataFrame(data, "k int, s double, y int").repartition(5), "s", "y", "k", percents).collect()}
+    for p in percents:
+        end = max(1, int(700 * p / 100))
+        caught = sum(r[2] for r in order[:end])
+        assert (found[p].caught, found[p].precision, found[p].actives) == (caught, caught / end, sum(r[2] for r in data))
+
+
+def test_first_reaching_by_groups(spark):
+    from siftmill.operators.ranks import coarse, first_reaching
+
+    rows = spark.createDataFrame([(None, 3.0), (None, 1.0), ("a", -2.0), ("a", -2.0), ("a", 1e-30), ("a", 7.5)], "g string, v double")
+    found = first_reaching(rows, ["g"], "v", F.col("upto") * 2 >= F.col("total"))
+    assert {(r.g, r.value, r.upto, r.total) for r in found.collect()} == {(None, 1.0, 1, 2), ("a", -2.0, 2, 4)}
+    numbers = [float("-inf"), -1e308, -3.0, -1.0, -1e-300, 0.0, 1e-19, 1.0, 1.5, 1.999999999, 2.0, 63.9, 64.0, 1e9, float("inf")]
+    bins = [r.b for r in spark.createDataFrame([(x,) for x in numbers], "x double").select("x", coarse(F.col("x")).alias("b")).orderBy("x").collect()]
+    assert bins == sorted(bins)
+    assert spark.range(1).select(coarse(F.lit(None).cast("double")), coarse(F.lit(float("nan")))).first() == (None, None)
