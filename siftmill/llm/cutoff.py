@@ -4,17 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _coarse(score: str) -> F.Column:
-    """A rising coarse bin of a score: 64 bins per power of two, so at most some 2^18 bins whatever the data."""
-    magnitude = F.least(F.abs(F.col(score)), F.lit(1e300))
-    exponent = F.floor(F.log2(F.greatest(magnitude, F.lit(2.0**-64))))
-    fraction = F.floor((magnitude / F.pow(F.lit(2.0), exponent) - 1) * 64)
-    size = F.greatest(F.lit(0), (exponent + 65) * 64 + F.least(F.lit(63), fraction))
-    return (F.when(F.col(score) < 0, -size).otherwise(size)).cast("int")
+from ..operators.ranks import first_reaching
 
 
 def cutoffs(
@@ -33,29 +26,8 @@ def cutoffs(
     """
     keys = list(source)
     goal = targets.where(F.col(permille).isNotNull()).groupBy(*keys).agg(F.max(permille).alias("permille"))
-    exact = rows.select(*keys, F.col(score).cast("double").alias("score")).groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("n"))
-    exact = exact.withColumn("bin", _coarse("score"))
-    bins = exact.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
-    rising = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    need = F.col("below") * 1000 >= F.col("permille") * F.col("total")
-    hit = (
-        bins.withColumn("below", F.sum("n").over(rising))
-        .withColumn("total", F.sum("n").over(whole))
-        .join(goal, keys)
-        .where(need)
-        .groupBy(*keys, "permille", "total")
-        .agg(F.min_by(F.struct("bin", (F.col("below") - F.col("n")).alias("before")), "bin").alias("hit"))
-        .select(*keys, "permille", "total", F.col("hit.bin").alias("bin"), F.col("hit.before").alias("before"))
-    )
-    fine = Window.partitionBy(*keys).orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        exact.join(hit, [*keys, "bin"])
-        .withColumn("below", F.col("before") + F.sum("n").over(fine))
-        .where(need)
-        .groupBy(*keys, "permille", "total")
-        .agg(F.min("score").alias("cutoff"), F.min("below").alias("kept"))
-    )
+    found = first_reaching(rows, keys, score, F.col("upto") * 1000 >= F.col("permille") * F.col("total"), goal)
+    return found.select(*keys, "permille", F.col("value").alias("cutoff"), F.col("upto").alias("kept"), "total")
 
 
 def kept_rows(rows: DataFrame, cuts: DataFrame, source: Sequence[str], score: str) -> DataFrame:

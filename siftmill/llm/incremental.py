@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.compact import Journal, Run
-from ..runtime import materialize, work_path
+from ..runtime import materialize, remove_path, work_path
 
 #: Ids under one key from which the window is split by what is left of an id after one deletion.
 WINDOW = 200
@@ -109,17 +109,25 @@ class SortedRuns:
 
     def _write(self, entries: DataFrame, kind: str, name: str, consumes: list[str]) -> None:
         txn = hashlib.sha256(f"{kind}:{name}:{sorted(consumes)}".encode()).hexdigest()[:24]
-        if txn in self.journal.committed():
-            return
-        entries.repartitionByRange("key").sortWithinPartitions("key", "id").write.mode("overwrite").parquet(self.journal.data(txn))
-        self.journal.commit(Run(txn, kind, 0, 1, 0, 0, consumes))
-
-    def add(self, ids: DataFrame, name: str) -> None:
-        """Adds a batch of ids as a run under its name; a batch of that name that was added already is left alone."""
+        if txn not in self.journal.committed():
+            entries.repartitionByRange("key").sortWithinPartitions("key", "id").write.mode("overwrite").parquet(self.journal.data(txn))
+            self.journal.commit(Run(txn, kind, 0, 1, 0, 0, consumes))
+        for old in consumes:
+            remove_path(self.spark, self.journal.data(old))
+
+    def add(self, ids: DataFrame) -> None:
+        """Adds those ids that no run has yet as a run of their own; merges the runs first if there are many."""
         live = self.journal.live()
         if len(live) >= MOST_RUNS:
-            self._write(self.entries().distinct(), "merge", "", [r.txn for r in live])
-        self._write(_keys(ids.select("id").where(F.col("id").isNotNull()).distinct()).select("key", "id"), "add", name, [])
+            self._write(self.entries(), "merge", "", [r.txn for r in live])
+            live = self.journal.live()
+        new = _keys(ids.select("id").where(F.col("id").isNotNull()).distinct()).select("key", "id")
+        if live:
+            new = new.join(self.entries(), ["key", "id"], "left_anti")
+        new = materialize(new, "new-entries")
+        n, mark = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("key", "id").cast("decimal(38,0)"))).first()
+        if n:
+            self._write(new, "add", f"{n}:{mark}", [])
 
     def matches(self, ids: DataFrame) -> DataFrame:
         """`id, other`: of new ids, those of history or of the new ones that are one edit apart, each pair once."""
@@ -177,8 +185,8 @@ def repeated_rows(selections: DataFrame, specs: DataFrame, root: str | None = No
     be unique. Empty tables give no rows; extra columns are ignored.
 
     Only the first row of an id in a batch can be accepted, so all matching happens between distinct ids, and
-    an id with any number of rows is one node. `root` keeps the sorted runs between calls; by default they
-    are made new.
+    an id with any number of rows is one node. `root` keeps the sorted runs of ids between calls, so a later
+    call adds new ids alone; by default they are made new.
     """
     spark = selections.sparkSession
     status = specs.select("batch_no", "status").where(F.col("status").isin("accepted", "new")).distinct()
@@ -193,7 +201,7 @@ def repeated_rows(selections: DataFrame, specs: DataFrame, root: str | None = No
         "new-ids",
     )
     runs = SortedRuns(spark, root or work_path(spark, "sorted-runs"))
-    runs.add(old.select("id"), "accepted")
+    runs.add(old.select("id"))
     found = materialize(runs.matches(nodes.select("id")), "matches")
     alike = found.unionByName(nodes.select("id", F.col("id").alias("other")).distinct())
     named = materialize(named_files(specs.where("status = 'new'"), old.select("path").unionByName(nodes.select("path"))), "named-files")

@@ -119,8 +119,25 @@ def test_files(spark):
 def test_runs_are_kept_and_merged(spark, tmp_path):
     runs = SortedRuns(spark, f"file://{tmp_path}")
     for n in range(7):
-        for _ in range(2):  # a batch that is added again is left alone
-            runs.add(spark.createDataFrame([(f"{n}" * 5,), (None,)], "id string"), f"batch {n}")
-    assert len(runs.journal.live()) <= incremental.MOST_RUNS + 1
+        for _ in range(2):  # ids that are added again are left alone
+            runs.add(spark.createDataFrame([(f"{n}" * 5,), ("00000",), (None,)], "id string"))
+    assert len(runs.journal.live()) <= incremental.MOST_RUNS
+    assert runs.entries().count() == runs.entries().distinct().count() == 7 * 4
     new = spark.createDataFrame([("33334",), ("00000",), ("5555",), ("zz",)], "id string")
     assert sorted(tuple(r) for r in SortedRuns(spark, f"file://{tmp_path}").matches(new).collect()) == [("33334", "33333"), ("5555", "55555")]
+
+
+def test_runs_of_an_earlier_call(spark, tmp_path):
+    """With kept runs a later call gives what it would without them."""
+    specs = {1: ("accepted", []), 2: ("new", ["a"]), 3: ("new", ["a", "b"])}
+    rows = [(1, 1, "a/f", "AAAA"), (2, 2, "b/f", "AAAB"), (3, 2, "b/f", "CCCC"), (4, 3, "c/f", "CCC"), (5, 3, "c/f", "DDDD")]
+
+    def call(specs, root):
+        frame = spark.createDataFrame([(*r, None, "x", "x", 0) for r in rows if r[1] in specs], SELECTIONS)
+        listed = spark.createDataFrame([(b, s, "o", e, "x") for b, (s, e) in specs.items()], SPECS)
+        return sorted(tuple(r) for r in repeated_rows(frame, listed, root).collect())
+
+    root = f"file://{tmp_path}"
+    assert call({k: specs[k] for k in (1, 2)}, root) == [(1, 2)]
+    later = specs | {2: ("accepted", [])}
+    assert call(later, root) == call(later, None) == [(3, 4)]
