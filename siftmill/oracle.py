@@ -111,7 +111,7 @@ ORACLE: dict[str, str] = {
     "mpo_scores": f"SELECT vec_no, round(2 * {_term('clogd')} + {_term('mw')} + {_term('tpsa')} + {_term('hbd')} + 1, 9) AS score FROM ({_PROPERTIES})",
     "search_boxes": f"""SELECT site_id, round(greatest(25.0, 2 * CASE WHEN extent.kind = 'sphere' THEN extent.radius WHEN len(extent.points) > 0 AND len(center) = 3 THEN {_RADIUS} END), 6) AS edge
         FROM binding_sites""",
-    "pocket_radius": f"""SELECT site_id || ':p2rank:1' AS site_id, round({_RADIUS}, 6) AS radius, 1::BIGINT AS missing FROM binding_sites
+    "pocket_radius": f"""SELECT site_id || ':cloud:1' AS site_id, round({_RADIUS}, 6) AS radius, 1::BIGINT AS missing FROM binding_sites
         WHERE extent.kind = 'point_cloud' AND len(center) = 3 AND len(extent.points) > 0""",
     "pocket_filter": "SELECT site_id FROM binding_sites WHERE pocket_score >= 10 AND NOT isnan(pocket_score)",
     "sites_flatten": "SELECT ensemble_id, site_id, member_id, to_json(center)::VARCHAR AS center FROM binding_sites",

@@ -220,7 +220,7 @@ def pocket_radius(spark: SparkSession, folder: str) -> DataFrame:
         F.col("site_id").alias("member_id"), F.lit("1").alias("rank"), *(F.col("center")[i].cast("string").alias(f"center_{a}") for i, a in enumerate("xyz")),
         F.coalesce("pocket_score", F.lit(0.0)).cast("string").alias("score"), F.lit("0.5").alias("probability"), serials.alias("surf_atom_ids"),
     )
-    return sites.pocket_sites(pockets, atoms, "p2rank").select("site_id", F.round("radius", 6).alias("radius"), "missing")
+    return sites.pocket_sites(pockets, atoms, "cloud").select("site_id", F.round("radius", 6).alias("radius"), "missing")
 
 
 def pocket_filter(spark: SparkSession, folder: str) -> DataFrame:
