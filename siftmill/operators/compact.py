@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import path_exists, remove_path
+from ..runtime import path_exists, remove_path, shuffle_partitions
 
 MB = 1 << 20
 
@@ -114,14 +114,18 @@ class RecordStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*filled)
 
-    def _write(self, records: DataFrame, txn: str, kind: str, tier: int, size: int, consumes: list[str]) -> Run:
-        """Writes a run in files of about its tier's size, sorted by identity so that like texts lie together."""
-        files = max(1, -(-size // (self.unit * self.fanout**tier)))
+    def _write(self, records: DataFrame, txn: str, kind: str, tier: int, size: int, consumes: list[str], spread: bool = False) -> Run:
+        """Writes a run in files of about its tier's size, sorted by identity so that like texts lie together.
+
+        Records that are `spread` by identity already are merged into fewer files without another shuffle.
+        """
+        files = int(max(1, -(-size // (self.unit * self.fanout**tier))))
         seen = Observation()
-        out = records.repartition(int(files), *self.identity).sortWithinPartitions(*self.identity)
+        few = spread and files <= shuffle_partitions(self.spark)
+        out = (records.coalesce(files) if few else records.repartition(files, *self.identity)).sortWithinPartitions(*self.identity)
         out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.sum(self._size).alias("size"))
         out.write.mode("overwrite").option("compression", "zstd").parquet(self.journal.data(txn))
-        run = Run(txn, kind, tier, int(files) if seen.get["records"] else 0, seen.get["records"], seen.get["size"] or 0, consumes)
+        run = Run(txn, kind, tier, files if seen.get["records"] else 0, seen.get["records"], seen.get["size"] or 0, consumes)
         self.journal.commit(run)
         return run
 
@@ -160,7 +164,7 @@ class RecordStore:
             for c in same[1:]:
                 condition &= c
             new = new.join(old, condition, "left_anti")
-        return self._write(new, txn, "add", 0, int(size or 0), [])
+        return self._write(new, txn, "add", 0, int(size or 0), [], spread=True)
 
     def compact(self) -> list[Run]:
         """Merges tier by tier until no tier below the top holds `fanout` files or more; the runs it made."""
