@@ -117,11 +117,12 @@ class RecordStore:
     def _write(self, records: DataFrame, txn: str, kind: str, tier: int, size: int, consumes: list[str], spread: bool = False) -> Run:
         """Writes a run in files of about its tier's size, sorted by identity so that like texts lie together.
 
-        Records that are `spread` by identity already are merged into fewer files without another shuffle.
+        Merged runs hold no record twice, as each was checked against all others when it was added, so their
+        files are put together without a shuffle; so are new records that are `spread` over enough tasks.
         """
         files = int(max(1, -(-size // (self.unit * self.fanout**tier))))
         seen = Observation()
-        few = spread and files <= shuffle_partitions(self.spark)
+        few = kind == "merge" or (spread and files <= shuffle_partitions(self.spark))
         out = (records.coalesce(files) if few else records.repartition(files, *self.identity)).sortWithinPartitions(*self.identity)
         out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.sum(self._size).alias("size"))
         out.write.mode("overwrite").option("compression", "zstd").parquet(self.journal.data(txn))
