@@ -12,73 +12,143 @@ import json
 from collections import deque
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import materialize
 from .tokens import token_counts
 
-#: Patterns that the flow tells apart, and most uses of a text whatever a target says: bounds of the flow's size.
-MOST_PATTERNS, MOST_USES = 4_096, 64
+#: Most uses of a text whatever a target says.
+MOST_USES = 64
+#: Patterns up to which their intervals are broadcast; those of more are shuffled. The result is the same.
+MOST_PATTERNS = 4_096
 #: Hash ranges of a pattern in which texts are ordered one by one.
 RANGES = 1_024
 
 
 class Flow:
-    """Largest flow by blocking flows (Dinic), whose arcs may be widened between runs."""
-
-    def __init__(self, nodes: int) -> None:
-        self.out: list[list[int]] = [[] for _ in range(nodes)]
-        self.to: list[int] = []
-        self.room: list[int] = []
-
-    def arc(self, a: int, b: int, room: int) -> int:
-        self.out[a].append(len(self.to))
-        self.out[b].append(len(self.to) + 1)
-        self.to += [b, a]
-        self.room += [room, 0]
-        return len(self.to) - 2
-
-    def run(self, origin: int, goal: int) -> int:
-        """Augments until nothing more reaches the goal; the amount added."""
-        added = 0
+    """Largest flow of least cost from patterns to the quotas of sources.
+
+    What the residual graph allows between two sources is summed over patterns, so paths lead over sources
+    alone, and all patterns of a step are moved at once. `sent[s]` are the tokens of each pattern that go to
+    source s, all its uses together, at most its weight times its cap.
+    """
+
+    def __init__(self, member: np.ndarray, weights: np.ndarray, caps: np.ndarray, quotas: np.ndarray) -> None:
+        self.member, self.weights, self.quotas = member, weights, quotas
+        most = int(quotas.sum())
+        self.caps = np.minimum(caps, most // np.maximum(weights, 1) + 1)  # no pattern has more than all quotas
+        self.sent = np.zeros(member.shape, np.int64)
+        self.load = np.zeros(len(weights), np.int64)
+
+    def short(self) -> int:
+        return int(self.quotas.sum() - self.load.sum())
+
+    def _moves(self, s: int) -> np.ndarray:
+        """Of each source, whether a pattern that goes to s may go there as well."""
+        return self.member[:, self.sent[s] > 0].any(axis=1)
+
+    def fill(self, bound: np.ndarray) -> None:
+        """Augments along shortest paths until nothing more reaches a quota with loads of at most `bound`."""
+        k = len(self.quotas)
+        moves = [self._moves(s) for s in range(k)]
+        slack = self.quotas - self.sent.sum(axis=1)
+        spare = bound - self.load
         while True:
-            level = [-1] * len(self.out)
-            level[origin], queue = 0, deque([origin])
-            while queue:
-                a = queue.popleft()
-                for e in self.out[a]:
-                    if self.room[e] and level[self.to[e]] < 0:
-                        level[self.to[e]] = level[a] + 1
-                        queue.append(self.to[e])
-            if level[goal] < 0:
-                return added
-            at = [0] * len(self.out)
-            path: list[int] = []
-            node = origin
-            while True:
-                if node == goal:
-                    amount = min(self.room[e] for e in path)
-                    added += amount
-                    for e in path:
-                        self.room[e] -= amount
-                        self.room[e ^ 1] += amount
-                    path, node = [], origin
-                    continue
-                while at[node] < len(self.out[node]):
-                    e = self.out[node][at[node]]
-                    if self.room[e] and level[self.to[e]] == level[node] + 1:
-                        break
-                    at[node] += 1
-                else:
-                    if not path:
-                        break
-                    e = path.pop()
-                    node = self.to[e ^ 1]
-                    at[node] += 1
-                    continue
-                path.append(e)
-                node = self.to[e]
+            open_ = self.member[:, spare > 0].any(axis=1)
+            came = {s: -1 for s in range(k) if open_[s]}
+            queue, end = deque(came), -1
+            while queue and end < 0:
+                s = queue.popleft()
+                if slack[s] > 0:
+                    end = s
+                for t in np.flatnonzero(moves[s]).tolist():
+                    if t not in came:
+                        came[t] = s
+                        queue.append(t)
+            if end < 0:
+                return
+            path = [end]
+            while came[path[-1]] >= 0:
+                path.append(came[path[-1]])
+            first = path[-1]
+            steps = list(zip(path[1:], path, strict=False))  # the last step comes first, so each moves what was there before
+            amount = min(int(slack[end]), int(spare[self.member[first]].sum()), *(int(self.sent[s][self.member[t]].sum()) for s, t in steps))
+            for s, t in steps:
+                moved = _first(np.where(self.member[t], self.sent[s], 0), amount)
+                self.sent[s] -= moved
+                self.sent[t] += moved
+            added = _first(np.where(self.member[first], spare, 0), amount)
+            self.sent[first] += added
+            self.load += added
+            spare -= added
+            slack[end] -= amount
+            for s in path:
+                moves[s] = self._moves(s)
+
+    def fill_up(self) -> None:
+        """A largest flow, whatever it costs."""
+        self.fill(self.caps * self.weights)
+
+    def fill_evenly(self) -> None:
+        """A largest flow of least cost, use by use.
+
+        A pattern that a largest flow of some use leaves short can't get more by further uses, as no path leads
+        on from it. While all others are full, several uses are added at once.
+        """
+        rising = (self.weights > 0) & (self.caps > 0)
+        level, step = 0, 1
+        while rising.any() and self.short():
+            bound = np.where(rising, np.minimum(self.caps, level + step) * self.weights, self.load)
+            kept = (self.sent.copy(), self.load.copy()) if step > 1 else None
+            self.fill(bound)
+            full = self.load == bound
+            if kept and not full.all():
+                self.sent, self.load = kept
+                step //= 2
+                continue
+            level += step
+            rising &= full & (self.caps > level)
+            step = 2 * step if full.all() else 1
+
+    def lacking(self) -> np.ndarray:
+        """Sources from which a path leads to a quota that isn't met: after a largest flow, no more can be sent to all of them."""
+        moves = np.array([self._moves(s) for s in range(len(self.quotas))]).reshape(len(self.quotas), len(self.quotas))
+        found = self.quotas > self.sent.sum(axis=1)
+        while True:
+            more = found | (moves & found).any(axis=1)
+            if (more == found).all():
+                return found
+            found = more
+
+
+def _first(there: np.ndarray, amount: int) -> np.ndarray:
+    """The first `amount` of what is there."""
+    return np.clip(amount - (np.cumsum(there) - there), 0, there)
+
+
+def _arrays(patterns: list[tuple[tuple[str, ...], int]], uses: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pattern has which source, in order of names, and the tokens of the patterns."""
+    member = np.array([[s in sources for sources, _ in patterns] for s in sorted(uses)], bool).reshape(len(uses), len(patterns))
+    return member, np.array([t for _, t in patterns], np.int64)
+
+
+def _caps(member: np.ndarray, uses: dict[str, int]) -> np.ndarray:
+    """A text has no more uses than any of its sources allows."""
+    caps = np.full(member.shape[1], max(uses.values(), default=0), np.int64)
+    for s, inside in zip(sorted(uses), member, strict=True):
+        caps[inside] = np.minimum(caps[inside], uses[s])
+    caps[~member.any(axis=0)] = 0
+    return caps
+
+
+def _spread(flow: Flow) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The flow as intervals of what each pattern sends, its uses one after the other: pattern, source, low, high."""
+    ends = np.cumsum(flow.sent, axis=0)
+    p, s = np.nonzero(flow.sent.T)
+    return p, s, ends[s, p] - flow.sent[s, p], ends[s, p]
 
 
 def route(patterns: list[tuple[tuple[str, ...], int]], quotas: dict[str, int], uses: dict[str, int]) -> dict[tuple[int, int, str], int]:
@@ -86,50 +156,57 @@ def route(patterns: list[tuple[tuple[str, ...], int]], quotas: dict[str, int], u
 
     A text has no more uses than any of its sources allows.
     """
+    uses = {s: uses[s] for s in quotas}
     names = sorted(quotas)
-    most = max((uses[s] for s in names), default=0)
-    flow = Flow(2 + len(names) + len(patterns) * most)
-    for i, s in enumerate(names):
-        flow.arc(2 + i, 1, quotas[s])
-    arcs: dict[tuple[int, int, str], int] = {}
-    fits = [[s for s in sources if s in uses] for sources, _ in patterns]
-    caps = [min((uses[s] for s in fit), default=0) for fit in fits]
-    for r in range(1, most + 1):
-        for p, (_, tokens) in enumerate(patterns):
-            fit = fits[p]
-            if r <= caps[p]:
-                node = 2 + len(names) + p * most + r - 1
-                flow.arc(0, node, tokens)
-                for s in fit:
-                    arcs[p, r, s] = flow.arc(node, 2 + names.index(s), tokens)
-        flow.run(0, 1)
-    return {k: flow.room[e ^ 1] for k, e in arcs.items() if flow.room[e ^ 1]}
+    member, weights = _arrays(patterns, uses)
+    flow = Flow(member, weights, _caps(member, uses), np.array([quotas[s] for s in names], np.int64))
+    flow.fill_evenly()
+    found: dict[tuple[int, int, str], int] = {}
+    for p, s, low, high in zip(*(x.tolist() for x in _spread(flow)), strict=True):
+        w = patterns[p][1]
+        for r in range(low // w, (high - 1) // w + 1):
+            found[p, r + 1, names[s]] = min(high, (r + 1) * w) - max(low, r * w)
+    return found
 
 
 def largest_total(patterns: list[tuple[tuple[str, ...], int]], shares: dict[str, float], uses: dict[str, int]) -> int:
     """The most tokens a mixture can have in which every source has its share."""
+    uses = {s: uses[s] for s in shares}
+    member, weights = _arrays(patterns, uses)
+    return _largest(member, weights, _caps(member, uses), shares)
+
+
+def _largest(member: np.ndarray, weights: np.ndarray, caps: np.ndarray, shares: dict[str, float]) -> int:
+    """Lowers the total to what the sources that lack tokens can have together, until none lacks any."""
     if not shares:
         return 0
-    low, high = 0, sum(t * max((uses[s] for s in sources if s in uses), default=0) for sources, t in patterns)
-    while low < high:
-        middle = (low + high + 1) // 2
-        quotas = {s: int(x * middle) for s, x in shares.items()}
-        if sum(route(patterns, quotas, uses).values()) == sum(quotas.values()):
-            low = middle
-        else:
-            high = middle - 1
-        if high - low <= max(1, high >> 20):
+    parts = np.array([shares[s] for s in sorted(shares)])
+    levels = np.unique(caps).tolist()
+
+    def total(inside: np.ndarray) -> int:
+        touched = member[inside].any(axis=0)
+        return min(int(sum(c * int(weights[touched & (caps == c)].sum()) for c in levels) / parts[inside].sum()), 2**62)
+
+    size = min(total(np.arange(len(parts)) == i) for i in range(len(parts)))
+    while size > 0:
+        flow = Flow(member, weights, caps, (parts * size).astype(np.int64))
+        flow.fill_up()
+        if not flow.short():
             break
-    return low
+        size = min(size - 1, total(flow.lacking()))
+    return max(size, 0)
 
 
 @dataclass
 class Plan:
-    """Shares of the sources that have texts, their quotas, and the flow as intervals of each pattern and use."""
+    """Shares of the sources that have texts, their quotas, and the flow as intervals of what each pattern sends.
+
+    An interval has the pattern, its tokens, the source, and where it begins and ends; uses follow each other.
+    """
 
     shares: dict[str, float]
     quotas: dict[str, int]
-    intervals: list[tuple[str, int, str, int, int]]
+    intervals: pa.Table
 
 
 def _key(sources: Column | str) -> Column:
@@ -158,8 +235,8 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
     Null, empty and blank texts, null sources and sources without target take no part. Null, zero or
     negative shares are no target; a null `max_repeats` is 1, more than MOST_USES count as that, and below 1
     the source isn't used. A source listed twice has its largest share and its smallest number of repeats.
-    Empty tables give an empty mixture. To the driver go at most MOST_PATTERNS sums of patterns; texts of
-    rarer patterns count for the first of their sources.
+    Empty tables give an empty mixture. To the driver goes one sum for each pattern that occurs, whatever
+    their number; each of them keeps all its sources.
     """
     spark = documents.sparkSession
     goal = (
@@ -176,13 +253,11 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
         .select("text_key", "tokens", "places", F.col("places.source").alias("pattern")).where("tokens > 0"),
         "mix-texts",
     )
-    sums = texts.groupBy("pattern").agg(F.sum("tokens").alias("tokens"))
-    known = [tuple(r["pattern"]) for r in sums.orderBy(F.desc("tokens"), _key("pattern")).limit(MOST_PATTERNS).collect()]
-    if sums.count() > len(known):
-        kept = spark.createDataFrame([(list(p),) for p in known], "pattern array<string>").withColumn("kept", F.lit(True))
-        texts = texts.join(F.broadcast(kept), "pattern", "left").withColumn("pattern", F.when(F.col("kept"), F.col("pattern")).otherwise(F.slice("pattern", 1, 1))).drop("kept")
-    patterns = [(tuple(r["pattern"]), r["tokens"]) for r in texts.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).orderBy(_key("pattern")).collect()]
-    plan = make_plan(patterns, {s: (r["target_share"], r["max_repeats"]) for s, r in goals.items()}, total)
+    sums = texts.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).orderBy(_key("pattern"))
+    names = sorted(goals)
+    summed = sums.select("tokens", *[F.array_contains("pattern", s).alias(f"s{i}") for i, s in enumerate(names)]).toArrow()
+    member = np.array([summed[f"s{i}"].to_numpy() for i in range(len(names))], bool).reshape(len(names), summed.num_rows)
+    plan = _plan(names, member, summed["tokens"].to_numpy(), {s: (r["target_share"], r["max_repeats"]) for s, r in goals.items()}, total)
 
     # Where the middle of each text lies among those of its pattern, in seeded order: ranges of hashes first, then inside of a range.
     order = F.md5(F.concat(F.lit(f"{seed}:"), "text_key"))
@@ -195,12 +270,14 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
         placed.withColumn("inside", F.coalesce(F.sum("tokens").over(within), F.lit(0))).join(starts, ["pattern", "range"])
         .select(_key("pattern").alias("pattern"), "places", "tokens", F.expr("start + inside + tokens div 2").alias("at"))
     )
-    intervals = spark.createDataFrame(plan.intervals, "pattern string, use int, source string, low long, high long")
-    if len(plan.intervals) <= 100_000:
+    intervals = spark.createDataFrame(plan.intervals)
+    if member.shape[1] <= MOST_PATTERNS:
         intervals = F.broadcast(intervals)
-    used = at.join(intervals, "pattern").where((F.col("at") >= F.col("low")) & (F.col("at") < F.col("high")))
+    # Use r of a text lies r times the pattern's tokens behind its first; those in the interval count.
+    uses = F.expr("(high - 1 - at + whole) div whole - (low - 1 - at + whole) div whole")
+    used = at.join(intervals, "pattern").withColumn("uses", uses).where("uses > 0")
     place = F.filter("places", lambda p: p["source"] == F.col("source"))[0]["doc_id"]
-    chosen = materialize(used.select(place.alias("doc_id"), "source", "tokens").groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("uses"), F.max("tokens").alias("tokens")), "mixture")
+    chosen = materialize(used.select(place.alias("doc_id"), "source", "tokens", "uses").groupBy("doc_id", "source").agg(F.sum("uses").alias("uses"), F.max("tokens").alias("tokens")), "mixture")
     got = chosen.groupBy("source").agg(F.sum(F.col("uses") * F.col("tokens")).alias("tokens"), F.count(F.lit(1)).alias("texts"), F.max("uses").alias("most_uses"))
     share = spark.createDataFrame([(s, x, plan.quotas[s]) for s, x in plan.shares.items()], "source string, share double, quota long")
     whole = Window.partitionBy()  # one row for each source of the mixture
@@ -215,17 +292,34 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
 
 def make_plan(patterns: list[tuple[tuple[str, ...], int]], goals: dict[str, tuple[float, int]], total: int | None = None) -> Plan:
     """Shares, quotas and intervals of a mixture; see mix()."""
+    names = sorted({*goals, *(s for sources, _ in patterns for s in sources)})
+    member, weights = _arrays(patterns, dict.fromkeys(names, 0))
+    return _plan(names, member, weights, goals, total)
+
+
+def _plan(names: list[str], member: np.ndarray, weights: np.ndarray, goals: dict[str, tuple[float, int]], total: int | None) -> Plan:
     uses = {s: n for s, (_, n) in goals.items() if n >= 1}
-    present = {s for sources, tokens in patterns if tokens for s in sources if s in uses}
-    whole = sum(goals[s][0] for s in present)
-    shares = {s: goals[s][0] / whole for s in sorted(present)}
-    size = largest_total(patterns, shares, uses) if total is None else total
+    present = [i for i, s in enumerate(names) if s in uses and weights[member[i]].any()]
+    uses = {names[i]: uses[names[i]] for i in present}
+    whole = sum(goals[s][0] for s in uses)
+    shares = {s: goals[s][0] / whole for s in sorted(uses)}
+    fit = member[present]
+    caps = _caps(fit, uses)
+    size = _largest(fit, weights, caps, shares) if total is None else total
     quotas = {s: int(x * size) for s, x in shares.items()}
-    intervals, ends = [], {}
-    for (p, r, s), n in sorted(route(patterns, quotas, uses).items()):
-        low = ends.get((p, r), 0)
-        ends[p, r] = low + n
-        intervals.append((_json(patterns[p][0]), r, s, low, low + n))
+    flow = Flow(fit, weights, caps, np.array([quotas[s] for s in sorted(uses)], np.int64))
+    flow.fill_evenly()
+    p, s, low, high = _spread(flow)
+    keys = pa.array([_json(tuple(names[i] for i in np.flatnonzero(member[:, j]))) for j in np.unique(p)], pa.string())
+    intervals = pa.table(
+        {
+            "pattern": keys.take(pa.array(np.searchsorted(np.unique(p), p))),
+            "source": pa.array(sorted(uses), pa.string()).take(pa.array(s)),
+            "whole": pa.array(weights[p], pa.int64()),
+            "low": pa.array(low, pa.int64()),
+            "high": pa.array(high, pa.int64()),
+        }
+    )
     return Plan(shares, quotas, intervals)
 
 

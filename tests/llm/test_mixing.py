@@ -102,3 +102,38 @@ def test_empty(spark):
         made = mix(d, t)
         assert made.chosen.count() == 0 and made.total == 0
         assert all(r.tokens == 0 and r.actual_share == 0 for r in made.report.collect())
+
+
+@needs_vocabulary
+def test_rare_patterns_keep_their_sources(spark, monkeypatch):
+    """With more patterns than a small cap, no text exceeds any of its sources' repeats, and the total is the same."""
+    chance = random.Random(5)
+    sources, limits = "abcdefgh", [3, 1, 4, 2, 1, 3, 2, 4]
+    texts = [f"text {i} " + "dock " * chance.randint(1, 20) for i in range(400)]
+    rows = [(100 * i + j, t, s) for i, t in enumerate(texts) for j, s in enumerate(chance.sample(sources, chance.randint(1, 5)))]
+    rows += [(10**6 + i, f"more {i} dock", "bh"[i % 2]) for i in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = spark.createDataFrame(list(zip(sources, [1 / 8] * 8, limits)), "source string, target_share double, max_repeats int")
+    text, at = {d: t for d, t, _ in rows}, {}
+    for _, t, s in rows:
+        at.setdefault(t, set()).add(s)
+    assert len({frozenset(x) for x in at.values()}) > 100
+    whole = mix(documents, targets)
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 4)
+    made = mix(documents, targets)
+    used = {}
+    chosen = sorted(tuple(r[c] for c in ("doc_id", "source", "uses", "tokens")) for r in made.chosen.collect())
+    for d, s, n, _ in chosen:
+        assert s in at[text[d]]
+        used[text[d]] = used.get(text[d], 0) + n
+    allowed = dict(zip(sources, limits))
+    assert all(n <= min(allowed[s] for s in at[t]) for t, n in used.items())
+    assert made.total == whole.total > 0 and chosen == sorted(tuple(r[c] for c in ("doc_id", "source", "uses", "tokens")) for r in whole.chosen.collect())
+    # The total is what a linear bound allows: no set of sources gets more than the texts that touch it can give.
+    size = tokenizer(default_vocabulary()).encode
+    tokens = {t: len(size([t])[0]) for t in at}
+    bound = min(
+        sum(tokens[t] * min(allowed[s] for s in x) for t, x in at.items() if x & set(some)) * 8 // n
+        for n in range(1, 9) for some in itertools.combinations(sources, n)
+    )
+    assert bound - 8 <= made.total <= bound
