@@ -118,20 +118,40 @@ def automaton() -> ahocorasick.Automaton:
     return made
 
 
-#: Summed weight from which a sentence is abusive, and words of a sentence of usual length.
-THRESHOLD, USUAL_WORDS = 1.0, 40
+#: Summed weight from which a sentence is abusive, and words within which the two parts of a pair stand.
+THRESHOLD, NEAR_WORDS = 1.0, 40
+#: Kinds that weigh together.
+PAIRS = (("insult", "cue"), ("group", "degrading"), ("erotic", "cue"))
 
 
-def _sentence(matches: list[tuple[int, int, str, float]], harmless: list[tuple[int, int]], words: int) -> float:
-    """The weight of a sentence: kinds count once each, and long run-on sentences are scaled down."""
+def _sentence(matches: list[tuple[int, int, str, float]], harmless: list[tuple[int, int]], folded: str, words: int) -> float:
+    """The weight of a sentence, whatever its length: kinds count once each, pairs if their parts stand near each other."""
     best: dict[str, float] = {}
-    for start, end, kind, weight in matches:
-        if not any(a <= start and end <= b for a, b in harmless):
-            best[kind] = max(best.get(kind, 0.0), weight)
+    counting = [m for m in matches if not any(a <= m[0] and m[1] <= b for a, b in harmless)]
+    for _, _, kind, weight in counting:
+        best[kind] = max(best.get(kind, 0.0), weight)
     sure = max((best[k] for k in ("abuse", "hate", "sexual") if k in best), default=0.0)
-    pairs = (("insult", "cue"), ("group", "degrading"), ("erotic", "cue"))
-    both = max(best.get(a, 0.0) + (best.get(b, 0.0) if a in best else 0.0) for a, b in pairs)
-    return max(sure, both / max(1.0, words / USUAL_WORDS))
+    both = max(best.get(a, 0.0) + (best.get(b, 0.0) if a in best else 0.0) for a, b in PAIRS)
+    if words > NEAR_WORDS and both > sure:
+        both = _near(counting, folded)
+    return max(sure, both)
+
+
+def _near(matches: list[tuple[int, int, str, float]], folded: str) -> float:
+    """The largest weight of a pair whose parts begin fewer than NEAR_WORDS words apart, or of a first part alone."""
+    found, at, place = 0.0, 0, None
+    seen: dict[str, dict[float, int]] = {}  # of each kind and weight, the word where it was last
+    for start, _, kind, weight in sorted(matches):
+        at, place = at + folded.count(" ", start if place is None else place, start), start
+        seen.setdefault(kind, {})[weight] = at
+        for a, b in PAIRS:
+            if kind == a:
+                found = max(found, weight)
+            if kind in (a, b):
+                for other, there in seen.get(b if kind == a else a, {}).items():
+                    if at - there < NEAR_WORDS:
+                        found = max(found, weight + other)
+    return found
 
 
 def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, float]:
@@ -146,7 +166,7 @@ def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, fl
     for last, (length, kinds) in matcher.iter(folded):
         if last > end_of:
             if matches:
-                w = _sentence(matches, harmless, folded.count(" ", start_of, end_of))
+                w = _sentence(matches, harmless, folded, folded.count(" ", start_of, end_of))
                 peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
                 matches = []
             harmless = []
@@ -159,7 +179,7 @@ def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, fl
             else:
                 matches.append((start, last, kind, weight))
     if matches:
-        w = _sentence(matches, harmless, folded.count(" ", start_of, end_of))
+        w = _sentence(matches, harmless, folded, folded.count(" ", start_of, end_of))
         peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
     return peak, total * 1000 / max(len(folded), 200)
 

@@ -43,6 +43,23 @@ def test_length():
     assert measure("word " * 100_000, automaton())[0] < THRESHOLD
 
 
+@pytest.mark.parametrize("text", ["you are an idiot", "an idiot you are", "women are all so inferior", "show me your tits"])
+@pytest.mark.parametrize("before,after", [(0, 100), (50, 50), (100, 0), (3000, 3000)])
+def test_run_on_sentences(text, before, after):
+    """A sentence without end hides nothing."""
+    assert measure(text, automaton())[0] >= THRESHOLD
+    assert measure("word " * before + text + " word" * after, automaton())[0] >= THRESHOLD
+
+
+def test_parts_far_apart():
+    """An insult and a cue are a pair up to a number of words, in either order and beside others that are too far."""
+    for first, second in (("idiot", "you"), ("you", "idiot")):
+        assert measure(f"{first} " + "word " * 38 + f"{second} " + "word " * 60, automaton())[0] >= THRESHOLD
+        assert measure(f"{first} " + "word " * 60 + f"{second} " + "word " * 60, automaton())[0] < THRESHOLD
+        assert measure(f"{first} " + "word " * 60 + f"{second} " + "word " * 60 + f"{second} " + "word " * 20 + first, automaton())[0] >= THRESHOLD
+    assert measure("idiot. " + "word " * 60 + "you", automaton())[0] < THRESHOLD
+
+
 def test_rates(spark):
     rows = [(1, "Kill yourself", "a", 9.0), (2, None, "a", 9.0), (3, "fine", None, 9.0), (3, "fine", None, 9.0), (4, "", "b", 9.0)]
     scored = score_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, peak double"))
