@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from ..runtime import materialize
 from .tokens import token_counts
 
-#: Most uses of a text whatever a target says.
-MOST_USES = 64
 #: Patterns up to which their intervals are broadcast; those of more are shuffled. The result is the same.
 MOST_PATTERNS = 4_096
 #: Hash ranges of a pattern in which texts are ordered one by one.
@@ -233,15 +231,14 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
     the source.
 
     Null, empty and blank texts, null sources and sources without target take no part. Null, zero or
-    negative shares are no target; a null `max_repeats` is 1, more than MOST_USES count as that, and below 1
-    the source isn't used. A source listed twice has its largest share and its smallest number of repeats.
+    negative shares are no target; a null `max_repeats` is 1, and below 1 the source isn't used. A source listed twice has its largest share and its smallest number of repeats.
     Empty tables give an empty mixture. To the driver goes one sum for each pattern that occurs, whatever
     their number; each of them keeps all its sources.
     """
     spark = documents.sparkSession
     goal = (
         targets.where((F.col("target_share") > 0) & F.col("source").isNotNull() & ~F.isnan(F.col("target_share").cast("double")))
-        .groupBy("source").agg(F.max(F.col("target_share").cast("double")).alias("target_share"), F.min(F.least(F.coalesce("max_repeats", F.lit(1)), F.lit(MOST_USES))).alias("max_repeats"))
+        .groupBy("source").agg(F.max(F.col("target_share").cast("double")).alias("target_share"), F.min(F.coalesce("max_repeats", F.lit(1))).alias("max_repeats"))
     )
     goals = {r["source"]: r for r in goal.collect()}  # one row for each source of the mixture
     usable = F.create_map(*[x for s in sorted(goals) for x in (F.lit(s), F.lit(True))]) if goals else F.lit(None).cast("map<string,boolean>")

@@ -137,3 +137,22 @@ def test_rare_patterns_keep_their_sources(spark, monkeypatch):
         for n in range(1, 9) for some in itertools.combinations(sources, n)
     )
     assert bound - 8 <= made.total <= bound
+
+
+def test_uses_have_no_bound():
+    """A small source is used as often as its target allows, and as evenly as it can be."""
+    patterns = [(("a",), 100_000), (("a", "b"), 7), (("b",), 10)]
+    assert largest_total(patterns, {"a": 0.9, "b": 0.1}, {"a": 1, "b": 1_000}) in range(100_060, 100_080)
+    assert largest_total(patterns, {"a": 0.9, "b": 0.1}, {"a": 1, "b": 2_000_000_000}) in range(111_100, 111_120)
+    flow = route(patterns, {"a": 0, "b": 10_000}, {"a": 400, "b": 1_000})
+    sent = [sum(n for (p, _, _), n in flow.items() if p == i) for i in range(3)]
+    assert sent == [0, 7 * 400, 10_000 - 7 * 400] and max(r for p, r, _ in flow if p == 2) == 720
+
+
+@needs_vocabulary
+def test_more_than_64_uses(spark):
+    documents = spark.createDataFrame([(1, "rare text " * 3, "b")] + [(i + 2, f"dock {i} " + "pose " * 40, "a") for i in range(200)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 5_000)], "source string, target_share double, max_repeats int")
+    report = {r.source: r for r in mix(documents, targets).report.collect()}
+    assert report["b"].max_repeats == 5_000 and report["b"].most_uses > 1_000
+    assert abs(report["b"].tokens - report["a"].tokens) < 100
