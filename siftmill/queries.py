@@ -298,14 +298,11 @@ def stand_in_docking(spark: SparkSession, folder: str) -> DataFrame:
     return docked(read_ligands(rows), HashedDocking(), "M", "M:1").groupBy("status", "mode").agg(F.count(F.lit(1)).alias("rows"))
 
 
-SMALL = Settings(trees=5, depth=3)
-
-
 def surrogate_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Feature rows scored by a surrogate that was trained on docked ones."""
     rows = _training(spark, folder)
     limit = labels.nearest_quantile(rows, "affinity_kcal_mol", 10.0)
-    model = trained(prepared(labels.labelled(rows, limit, "affinity_kcal_mol"), ["usrcat"], width=60), SMALL)
+    model = trained(prepared(labels.labelled(rows, limit, "affinity_kcal_mol"), ["usrcat"], width=60), Settings())
     return scored(table(spark, folder, "features"), model, ["usrcat"]).select("vec_no", "eligible", "score")
 
 
@@ -317,7 +314,7 @@ def active_rounds(spark: SparkSession, folder: str) -> DataFrame:
         found = docked(rows.select("id", F.col("id").alias("conformer")), HashedDocking(), "M", "M:1")
         return found.where("status = 'docked'").select("id", "mode", "affinity_kcal_mol")
 
-    out = run_rounds(candidates, dock, [Round(0, 8), Round(4, 4)], 8, 20.0, ["usrcat"], settings=SMALL, width=60)
+    out = run_rounds(candidates, dock, [Round(0, 8), Round(4, 4)], 8, 20.0, ["usrcat"], settings=Settings(), width=60)
     parts = [rows.agg(F.lit(label).alias("label"), F.count(F.lit(1)).alias("rows")) for label, rows in out.selections.items()]
     every = parts[0]
     for p in parts[1:]:

@@ -16,6 +16,7 @@ from siftmill.plans.layout import Layout, labels_up_to
 from siftmill.plans.manifest import Manifest, changed, covers, described, run_once
 from siftmill.plans.retry import retried
 from siftmill.plans.thresholds import kept_threshold
+from siftmill.queries import QUERIES
 from siftmill.sources.structures import download
 from siftmill.streaming.intake import take_in
 
@@ -212,3 +213,19 @@ def test_intake_takes_each_file_once(spark, tmp_path):
             (tmp_path / "in/b.smi").write_text(text)
         take_in(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "done"), 4).awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("name,module", [("surrogate_scores", "siftmill.queries"), ("active_rounds", "siftmill.plans.active")])
+def test_queries_train_with_the_operators_settings(spark, folder, monkeypatch, name, module):
+    """The registered queries train as large a model as the operator does by itself."""
+
+    class Seen(Exception):
+        pass
+
+    def train(rows, settings=Settings()):
+        raise Seen(settings)
+
+    monkeypatch.setattr(f"{module}.trained", train)
+    with pytest.raises(Seen) as seen:
+        QUERIES[name](spark, folder)
+    assert seen.value.args[0] == Settings() and (Settings().trees, Settings().depth) == (100, 5)
