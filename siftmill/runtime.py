@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -23,12 +24,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from `spark.checkpoint.dir`.
 
-    Where the setting is absent (a single machine, tests) a temporary folder of this process is used and
-    removed at its end.
+    Where the setting is absent a temporary folder of this process is used and removed at its end, but only
+    with a local master: on a cluster each executor would write to its own disk, so that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
     if not _LOCAL_DIRS:
         path = tempfile.mkdtemp(prefix="siftmill-")
         _LOCAL_DIRS.append(path)
@@ -37,8 +41,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/siftmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's part of it, which is deleted when the driver ends."""
+    context = spark.sparkContext
+    own = f"{shared_folder(spark)}/siftmill/{context.applicationId}"
+    if not getattr(context, "_siftmill_owned", False):
+        target = context._jvm.org.apache.hadoop.fs.Path(own)
+        fs = target.getFileSystem(context._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        context._siftmill_owned = True
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
