@@ -29,6 +29,8 @@ from ..runtime import remove_path
 MB = 1 << 20
 #: Seconds for which files that no longer belong to a table are kept for those who still read them.
 RETENTION = 86_400.0
+#: Leading bits of hashes by which slots are chosen: at most 2 ** PREFIX numbers go to the driver.
+PREFIX = 12
 #: Attempts of a transaction while others commit.
 ATTEMPTS = 50
 
@@ -191,16 +193,17 @@ class Table:
     """One table of a store: `kind` in the journal, cut by the hash of `keys`, sorted by `order` inside of a slot.
 
     `unit` is the least size of a file in bytes, `fanout` how many runs of a tier make one of the next, `top` the
-    last tier whose files grow: they reach unit * fanout ** top. Runs of `largest` bytes are merged no more.
+    last tier whose files grow: they reach unit * fanout ** top. Runs of `largest` bytes are merged no more, and runs below a unit as soon
+    as there are `small` of them.
     """
 
     def __init__(
-        self, journal: Journal, kind: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str], unit: int = 8 * MB, fanout: int = 4, top: int = 2, largest: int = 1 << 40
+        self, journal: Journal, kind: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str], unit: int = 8 * MB, fanout: int = 4, top: int = 2, largest: int = 1 << 40, small: int = 2
     ) -> None:
         if fanout < 2 or unit < 1 or top < 0:
             raise ValueError("fanout must be at least 2, unit at least 1 and top at least 0")
         self.journal, self.kind, self.schema, self.keys, self.order = journal, kind, schema, list(keys), list(order)
-        self.unit, self.fanout, self.top, self.largest = unit, fanout, top, largest
+        self.unit, self.fanout, self.top, self.largest, self.small = unit, fanout, top, largest, small
         fixed = 8 * sum(not isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in schema)
         self.weight = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) for f in schema if isinstance(f.dataType, (T.StringType, T.BinaryType))), F.lit(fixed))
 
@@ -238,6 +241,15 @@ class Table:
     def most_slots(self, state: State) -> int:
         return max((r.slots for r in state.of(self.kind)), default=1)
 
+    def around(self, state: State, rows: DataFrame, expected: int | None = None) -> DataFrame:
+        """Rows of the slots that the hashes of some `rows` with the key columns lie in; all, if `expected` rows meet every slot anyway."""
+        most = self.most_slots(state)
+        if most == 1 or (expected or 0) > 4 * most:
+            return self.read(state)
+        bits = min(PREFIX, most.bit_length() - 1)
+        found = rows.select(F.shiftrightunsigned(self.hash, 64 - bits).cast("int").alias("p")).distinct().collect()  # at most 2 ** PREFIX rows
+        return self.read(state, [r.p for r in found], bits)
+
     def write(self, rows: DataFrame, size: int, spread: int = 1) -> Run:
         """Writes rows as a run of about `size` bytes; with `spread`, each slot as so many files by the hash of whole rows."""
         slots, name, seen = self.slots(size), f"{self.kind}-{uuid.uuid4().hex}", Observation()
@@ -255,10 +267,10 @@ class Table:
         return Run(name, self.kind, slots, tuple(s for s in range(slots) if s not in filled), files, seen.get["rows"], seen.get["size"] or 0)
 
     def due(self, state: State) -> list[Run]:
-        """Runs to be merged next: all that are below a unit, as long as there are two, or a tier that holds fanout runs."""
+        """Runs to be merged next: all that are below a unit, if they are enough, or a tier that holds fanout runs."""
         runs = [r for r in state.of(self.kind) if r.size < self.largest]
         small = [r for r in runs if r.size < self.unit]
-        if len(small) > 1:
+        if len(small) >= max(2, self.small):
             return small
         for tier in sorted({self.tier(r.size) for r in runs}):
             same = [r for r in runs if self.tier(r.size) == tier]
