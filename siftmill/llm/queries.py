@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.runs import MB
 from ..runtime import materialize, table
 from .abuse import score_documents, source_rates
 from .cutoff import cutoffs, kept_rows
@@ -35,8 +36,8 @@ def p3_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of new sampling batches that repeat an accepted row."""
-    return repeated_rows(table(spark, folder, "selections"), table(spark, folder, "sample_specs"))
+    """Rows of new sampling batches that repeat an accepted row; the history comes in two runs, which are merged."""
+    return repeated_rows(table(spark, folder, "selections"), table(spark, folder, "sample_specs"), parts=2, sizes=(8 * MB, 2, 4))
 
 
 SITE = ("member_id", "site_id")

@@ -1,15 +1,15 @@
 """New batches against history, against a plain loop over rows."""
 
+import itertools
 import random
 import re
 from collections import defaultdict
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from siftmill.llm import incremental
-from siftmill.llm.incremental import SortedRuns, named_files, one_apart, repeated_rows
+from siftmill.llm.incremental import History, named_files, one_apart, repeated_rows
 
 SELECTIONS = "row_no long, batch_no int, path string, id string, smiles string, status string, key string, row long"
 SPECS = "batch_no int, status string, output_path string, exclude_inputs array<string>, path string"
@@ -26,10 +26,14 @@ def distance(a, b):
     return d[len(a), len(b)]
 
 
-@settings(max_examples=500, deadline=None)
-@given(st.text("ab1", max_size=6), st.text("ab1", max_size=6))
-def test_one_apart(a, b):
-    assert one_apart(a, b) is (distance(a, b) == 1)
+def test_one_apart(spark):
+    """All pairs of short strings over two letters, and others drawn from three."""
+    short = ["".join(t) for n in range(5) for t in itertools.product("ab", repeat=n)]
+    chance = random.Random(5)
+    pairs = [*itertools.product(short, short), *(("".join(chance.choices("ab1", k=chance.randrange(7))), "".join(chance.choices("ab1", k=chance.randrange(7)))) for _ in range(2000))]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    for a, b, one in frame.select("a", "b", one_apart(F.col("a"), F.col("b"))).collect():
+        assert one is (distance(a, b) == 1), (a, b)
 
 
 def plain(text):
@@ -83,10 +87,11 @@ def test_by_hand(spark):
     assert got(spark, [], specs) == [] == got(spark, rows, {})
 
 
-@pytest.mark.parametrize(("seed", "window"), [(1, 200), (2, 2), (3, 2)])
-def test_random_rows(spark, monkeypatch, seed, window):
-    """Ids over few letters, so that chains of near ones are long and keys are crowded."""
+@pytest.mark.parametrize(("seed", "window", "at_once"), [(1, 200, 10**6), (2, 2, 40), (3, 2, 3)])
+def test_random_rows(spark, monkeypatch, seed, window, at_once):
+    """Ids over few letters, so that chains of near ones are long, keys are crowded and parts of links large."""
     monkeypatch.setattr(incremental, "WINDOW", window)
+    monkeypatch.setattr(incremental, "AT_ONCE", at_once)
     chance = random.Random(seed)
     specs = {b: ("accepted" if b < 4 else "new", [chance.choice(["s/*/f?", "s/3", "s/4/", f"s/{b - 1}/f1", "s/?/f*", " s/5/f2 ", "s/9"]) for _ in range(2)]) for b in range(1, 8)}
     rows = []
@@ -116,28 +121,82 @@ def test_files(spark):
     assert {r.path for r in named_files(specs, frame).collect()} == expected
 
 
-def test_runs_are_kept_and_merged(spark, tmp_path):
-    runs = SortedRuns(spark, f"file://{tmp_path}")
-    for n in range(7):
-        for _ in range(2):  # ids that are added again are left alone
-            runs.add(spark.createDataFrame([(f"{n}" * 5,), ("00000",), (None,)], "id string"))
-    assert len(runs.journal.live()) <= incremental.MOST_RUNS
-    assert runs.entries().count() == runs.entries().distinct().count() == 7 * 4
-    new = spark.createDataFrame([("33334",), ("00000",), ("5555",), ("zz",)], "id string")
-    assert sorted(tuple(r) for r in SortedRuns(spark, f"file://{tmp_path}").matches(new).collect()) == [("33334", "33333"), ("5555", "55555")]
+def chain(length):
+    """Ids each of which is one edit from the next alone."""
+    return ["b" * n + "a" * (length - n) for n in range(length)]
 
 
-def test_runs_of_an_earlier_call(spark, tmp_path):
-    """With kept runs a later call gives what it would without them."""
+class Jobs:
+    """Jobs of a session while it is open."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.spark.sparkContext.setJobGroup("counted", "")
+        self.before = len(self.spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+        return self
+
+    def __exit__(self, *_):
+        self.n = len(self.spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - self.before
+        self.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_chains(spark):
+    counted = []
+    for length in (6, 300):
+        rows = [(n, 2, "d/f", name) for n, name in enumerate(chain(length))]
+        with Jobs(spark) as jobs:
+            found = got(spark, rows, {2: ("new", [])})
+        assert found == [(n - 1, n) for n in range(1, length, 2)]
+        counted.append(jobs.n)
+    assert counted[1] <= counted[0] + 6
+
+
+def test_connected_parts_of_a_long_chain(spark):
+    links = [(n, n + 1) for n in range(200)] + [(500 - n, 501 - n) for n in range(100)] + [(900, 901), (901, 900)]
+    found = incremental._parts(spark.createDataFrame(links, "row long, there long"))
+    assert {r.node: r.part for r in found.collect()} == {n: 0 for n in range(201)} | {n: 401 for n in range(401, 502)} | {900: 900, 901: 900}
+
+
+def frames(spark, rows, specs):
+    return spark.createDataFrame([(*r, None, "x", "x", 0) for r in rows], SELECTIONS), spark.createDataFrame([(b, s, "o", e, "x") for b, (s, e) in specs.items()], SPECS)
+
+
+def test_history_of_earlier_calls(spark, tmp_path):
+    """With a kept history a later call needs the new batch alone and gives what it would with all rows."""
     specs = {1: ("accepted", []), 2: ("new", ["a"]), 3: ("new", ["a", "b"])}
-    rows = [(1, 1, "a/f", "AAAA"), (2, 2, "b/f", "AAAB"), (3, 2, "b/f", "CCCC"), (4, 3, "c/f", "CCC"), (5, 3, "c/f", "DDDD")]
+    rows = [(1, 1, "a/f", "AAAA"), (2, 2, "b/f", "AAAB"), (3, 2, "b/f", "CCCC"), (4, 3, "c/f", "CCC"), (5, 3, "c/f", "DDDD"), (6, 3, "c/f", "AAAAB")]
 
-    def call(specs, root):
-        frame = spark.createDataFrame([(*r, None, "x", "x", 0) for r in rows if r[1] in specs], SELECTIONS)
-        listed = spark.createDataFrame([(b, s, "o", e, "x") for b, (s, e) in specs.items()], SPECS)
-        return sorted(tuple(r) for r in repeated_rows(frame, listed, root).collect())
+    def call(rows, specs, root):
+        return sorted(tuple(r) for r in repeated_rows(*frames(spark, rows, specs), root).collect())
 
     root = f"file://{tmp_path}"
-    assert call({k: specs[k] for k in (1, 2)}, root) == [(1, 2)]
-    later = specs | {2: ("accepted", [])}
-    assert call(later, root) == call(later, None) == [(3, 4)]
+    assert call(rows[:3], {k: specs[k] for k in (1, 2)}, root) == [(1, 2)]
+    later = {1: specs[1], 2: ("accepted", []), 3: specs[3]}
+    everything = call(rows, later, None)
+    assert everything == [(1, 6), (3, 4)] == call([r for r in rows if r[1] != 1], {k: later[k] for k in (2, 3)}, root)
+    before = History(spark, root).journal.state()
+    assert call(rows, later, root) == everything  # batches that it holds are skipped
+    assert History(spark, root).journal.state().runs == before.runs
+    late = [*rows, (7, 1, "a/g", "DDDDD")]  # a late row of an old batch
+    assert call(late, later, root) == [(1, 6), (3, 4), (7, 5)] == call(late, later, None)
+
+
+def test_runs_are_merged_and_read_by_range(spark, tmp_path):
+    """What a small batch opens of the history stays the same while the history grows."""
+    opened = []
+    for n in (1, 4):
+        history = History(spark, f"file://{tmp_path}/{n}", unit=2000, fanout=2, top=0)
+        chance = random.Random(n)
+        for batch in range(n):
+            ids = ["".join(chance.choices("abcdefghij0123456789", k=19)) for _ in range(1500)]
+            history.accept(spark.createDataFrame([(batch, 10_000 * batch + i, "p", x) for i, x in enumerate(ids)], "batch_no int, row_no long, path string, id string"))
+        state = history.journal.state()
+        assert len(state.of("keys")) <= 2 and sum(r.rows for r in state.of("keys")) == 4 * 2 * 1500 * n / 2 and sum(r.rows for r in state.of("places")) == 1500 * n
+        new = spark.createDataFrame([("x" + ids[7][1:],)], "id string")
+        assert [tuple(r) for r in history.matches(new, 1).collect()] == [("x" + ids[7][1:], ids[7])]
+        near = history.keys.around(state, incremental._keys(new), 4)
+        opened.append(len(near.inputFiles()))
+        assert opened[-1] <= 4 * len(state.of("keys")) < sum(r.files for r in state.of("keys")) / 4
+    assert opened[1] <= opened[0] + 4
