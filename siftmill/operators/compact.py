@@ -1,191 +1,87 @@
 """Far too many small files (problem 2): size-tiered incremental compaction with a transaction journal.
 
-A store is a folder of runs. A run is a set of files of about one size that together cover the hash space of
-records; it belongs to the tier of that size. New small files become a run of the lowest tier. As long as the
-runs of a tier hold at least `fanout` files, they are merged into one run of the next tier, so each record is
-rewritten once a tier. Every step is a transaction: its id follows from its inputs, it writes to a folder of
-its own, and one rename commits it. A step that died is done again under the same id, a step that is
-committed is not, and readers see the outputs of committed transactions that no other committed one consumed.
+New small files are taken in as a run of the tier of its real size; runs of one tier are merged into the next,
+level by level, so that each record is rewritten once a tier and files end well-sized (see runs.py). The journal
+records inputs and outputs of every step; which files were taken in is a table of the same store, so that a step
+done again, at once by two writers, or after a crash adds nothing twice and loses nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import path_exists, remove_path, shuffle_partitions
-
-MB = 1 << 20
-
-
-@dataclass
-class Run:
-    """A committed transaction and what it wrote."""
-
-    txn: str
-    kind: str
-    tier: int
-    files: int
-    records: int
-    size: int
-    consumes: list[str] = field(default_factory=list)
-
-
-class Journal:
-    """The committed transactions of a store, one small JSON file each."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._io = jvm.org.apache.commons.io.IOUtils
-        self._fs.mkdirs(self._path(f"{self.root}/journal"))
-
-    def data(self, txn: str) -> str:
-        return f"{self.root}/data/{txn}"
-
-    def inputs(self, txn: str) -> str:
-        return f"{self.root}/inputs/{txn}"
-
-    def committed(self) -> dict[str, Run]:
-        """All committed transactions by id."""
-        runs = {}
-        for status in self._fs.listStatus(self._path(f"{self.root}/journal")):
-            name = status.getPath().getName()
-            if name.endswith(".json"):
-                stream = self._fs.open(status.getPath())
-                try:
-                    run = Run(**json.loads(self._io.toString(stream, "UTF-8")))
-                finally:
-                    stream.close()
-                runs[run.txn] = run
-        return runs
-
-    def live(self) -> list[Run]:
-        """Committed runs that no committed transaction consumed, in a fixed order."""
-        runs = self.committed()
-        gone = {t for r in runs.values() for t in r.consumes}
-        return sorted((r for r in runs.values() if r.txn not in gone), key=lambda r: (r.tier, r.txn))
-
-    def commit(self, run: Run) -> None:
-        """Writes the entry beside its place and renames it there; a second commit changes nothing."""
-        entry, draft = (self._path(f"{self.root}/journal/{run.txn}{end}") for end in (".json", ".draft"))
-        stream = self._fs.create(draft, True)
-        try:
-            stream.write(json.dumps(asdict(run), sort_keys=True).encode())
-        finally:
-            stream.close()
-        if not self._fs.exists(entry) and not self._fs.rename(draft, entry):
-            raise OSError(f"transaction {run.txn} couldn't be committed")
-        self._fs.delete(draft, False)
+from .runs import MB, RETENTION, Change, Journal, Run, State, Table
+
+INPUTS = T.StructType([T.StructField("path", T.StringType()), T.StructField("fingerprint", T.LongType())])
 
 
 class RecordStore:
     """Records kept once each in few well-sized files.
 
-    `identity` names the columns in which records must agree to be one, nulls included. `unit` is the size
-    of a file of the lowest tier in bytes of `text` columns, `fanout` how many files of a tier make one of the next,
-    `top` the last tier, so that files of the store reach about unit * fanout ** top bytes.
+    `identity` names the columns in which records must agree to be one, nulls included. `unit` is the least size
+    of a file in bytes of text, `fanout` how many runs of a tier make one of the next, `top` the last tier
+    whose files grow, so that files reach about unit * fanout ** top bytes.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, identity: list[str], unit: int = 8 * MB, fanout: int = 4, top: int = 2
+        self, spark: SparkSession, root: str, schema: T.StructType, identity: list[str], unit: int = 8 * MB, fanout: int = 4, top: int = 2, retention: float = RETENTION
     ) -> None:
-        if fanout < 2 or unit < 1 or top < 0:
-            raise ValueError("fanout must be at least 2, unit at least 1 and top at least 0")
         self.spark, self.schema, self.identity = spark, schema, identity
-        self.unit, self.fanout, self.top = unit, fanout, top
-        self.journal = Journal(spark, root)
-        self._size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) for f in schema if isinstance(f.dataType, T.StringType)), F.lit(0))
+        self.journal = Journal(spark, root, retention)
+        self.records = Table(self.journal, "records", schema, identity, identity, unit, fanout, top)
+        self.inputs = Table(self.journal, "inputs", INPUTS, ["path", "fingerprint"], ["path", "fingerprint"], unit, max(fanout, 4), top, small=8)
 
     def read(self) -> DataFrame:
-        """All records; an empty table if nothing was added."""
-        return self._read(self.journal.live())
-
-    def _read(self, runs: list[Run]) -> DataFrame:
-        filled = [self.journal.data(r.txn) for r in runs if r.files]
-        if not filled:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*filled)
-
-    def _write(self, records: DataFrame, txn: str, kind: str, tier: int, size: int, consumes: list[str], spread: bool = False) -> Run:
-        """Writes a run in files of about its tier's size, sorted by identity so that like texts lie together.
+        """All records; an empty table if nothing was added. Files of a frame stay readable for the retention time."""
+        return self.records.read(self.journal.state())
 
-        Merged runs hold no record twice, as each was checked against all others when it was added, so their
-        files are put together without a shuffle; so are new records that are `spread` over enough tasks.
-        """
-        files = int(max(1, -(-size // (self.unit * self.fanout**tier))))
-        seen = Observation()
-        few = kind == "merge" or (spread and files <= shuffle_partitions(self.spark))
-        out = (records.coalesce(files) if few else records.repartition(files, *self.identity)).sortWithinPartitions(*self.identity)
-        out = out.observe(seen, F.count(F.lit(1)).alias("records"), F.sum(self._size).alias("size"))
-        out.write.mode("overwrite").option("compression", "zstd").parquet(self.journal.data(txn))
-        run = Run(txn, kind, tier, files if seen.get["records"] else 0, seen.get["records"], seen.get["size"] or 0, consumes)
-        self.journal.commit(run)
-        return run
-
-    @staticmethod
-    def _id(*parts: object) -> str:
-        return hashlib.sha256(json.dumps(parts, sort_keys=True).encode()).hexdigest()[:24]
-
-    def unseen(self, files: DataFrame) -> DataFrame:
+    def unseen(self, files: DataFrame, state: State | None = None) -> DataFrame:
         """Those of `files` (with `path, fingerprint`) that no committed transaction took in."""
-        earlier = [self.journal.inputs(t) for t, r in self.journal.committed().items() if r.kind == "add"]
-        if not earlier:
+        state = state or self.journal.state()
+        if not state.of("inputs"):
             return files
-        return files.join(self.spark.read.parquet(*earlier).select("path", "fingerprint"), ["path", "fingerprint"], "left_anti")
+        return files.join(self.inputs.around(state, files), ["path", "fingerprint"], "left_anti")
 
-    def add(self, files: DataFrame, records: DataFrame) -> Run | None:
-        """Adds the records of new small files as a run of the lowest tier; nothing if there are no files.
+    def add(self, files: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> Run | None:
+        """Adds the records of small files as a run; nothing if all of the files were taken in before.
 
-        `files` has one row for each unseen file (`path, size, fingerprint`), `records` the parsed records of
-        all of them. Records that the store holds already are left out, by a join on the identity columns alone
-        that doesn't read texts of other columns.
+        `files` has one row or more for each file (`path, size, fingerprint` and what parsing needs), and `parse`
+        makes the records of those that weren't taken in yet. Records that the store holds already are left
+        out, by a join on the identity columns alone with those slots that the hashes of the new records lie
+        in. If another writer commits meanwhile, both are done again with what is there then.
         """
-        files = files.select(F.col("path").cast("string"), F.col("size").cast("long"), F.col("fingerprint").cast("long")).distinct()
-        # The id follows from the set of files, whatever their order.
-        mark = F.xxhash64("path", "size", "fingerprint").cast("decimal(38,0)")
-        n, total, size = files.agg(F.count(F.lit(1)), F.sum(mark), F.sum("size")).first()
-        if not n:
-            return None
-        txn = self._id("add", n, str(total))
-        files.write.mode("overwrite").parquet(self.journal.inputs(txn))
-        new = records.select(*self.schema.fieldNames()).dropDuplicates(self.identity)
-        live = self.journal.live()
-        if any(r.files for r in live):
-            old = self._read(live).select(*(F.col(c).alias(f"__{c}") for c in self.identity))
-            same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in self.identity]
-            condition = same[0]
-            for c in same[1:]:
-                condition &= c
-            new = new.join(old, condition, "left_anti")
-        return self._write(new, txn, "add", 0, int(size or 0), [], spread=True)
+
+        def take(state: State) -> Change | None:
+            fresh = self.unseen(files, state)
+            listed = fresh.select(F.col("path").cast("string"), F.col("size").cast("long"), F.col("fingerprint").cast("long")).distinct()
+            n, mark, size = listed.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "size", "fingerprint").cast("decimal(38,0)")), F.sum("size")).first()
+            if not n:
+                return None
+            new = parse(fresh).select(*self.schema.fieldNames()).dropDuplicates(self.identity)
+            if state.of("records"):
+                old = self.records.around(state, new, n).select(*(F.col(c).alias(f"__{c}") for c in self.identity))
+                new = new.join(old, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in self.identity)), "left_anti")
+            with ThreadPoolExecutor(1) as beside:  # the list of files is written while the records are
+                taken = beside.submit(self.inputs.write, listed, 64 * n)
+                made = self.records.write(new, int(size or 0))
+            return Change("add", [made, taken.result()], inputs={"files": n, "mark": str(mark), "bytes": size})
+
+        change = self.journal.transact(take)
+        return change.adds[0] if change else None
 
     def compact(self) -> list[Run]:
-        """Merges tier by tier until no tier below the top holds `fanout` files or more; the runs it made."""
-        made = []
-        for tier in range(self.top):
-            runs = [r for r in self.journal.live() if r.tier == tier and r.files]
-            if sum(r.files for r in runs) < self.fanout:
-                continue
-            inputs = [r.txn for r in runs]
-            made.append(self._write(self._read(runs), self._id("merge", tier + 1, sorted(inputs)), "merge", tier + 1, sum(r.size for r in runs), inputs))
-        return made
+        """Merges, of the records and of the list of files, what is due; the runs that were made."""
+        return self.records.compact() + self.inputs.compact()
 
     def vacuum(self) -> None:
-        """Deletes the files of consumed runs and of transactions that never committed."""
-        keep = {r.txn for r in self.journal.live()}
-        folder = f"{self.journal.root}/data"
-        if path_exists(self.spark, folder):
-            for status in self.journal._fs.listStatus(self.journal._path(folder)):
-                if status.getPath().getName() not in keep:
-                    remove_path(self.spark, status.getPath().toString())
+        """Deletes what has been out of use for the retention time."""
+        self.journal.vacuum()
 
 
 POSE_SCHEMA = T.StructType(
@@ -205,28 +101,35 @@ POSE_SCHEMA = T.StructType(
 POSE_IDENTITY = ["id", "member_id", "site_id", "mode", "affinity_kcal_mol", "rmsd_lb", "rmsd_ub", "text_hash"]
 
 
-def pose_store(spark: SparkSession, root: str, **sizes: int) -> RecordStore:
+def pose_store(spark: SparkSession, root: str, **sizes: float) -> RecordStore:
     """A store of pose records; a text is compared by its SHA-256, so that merges and joins don't carry it as a key."""
     return RecordStore(spark, root, POSE_SCHEMA, POSE_IDENTITY, **sizes)
 
 
-def pack_pose_files(store: RecordStore, files: DataFrame) -> list[Run]:
-    """Takes new pose files (`path, id, member_id, site_id, content`) into a store and compacts it.
+def pack_pose_files(store: RecordStore, files: DataFrame, parts: int = 1) -> list[Run]:
+    """Takes new pose files (`path, id, member_id, site_id, content`) into a store and compacts it; the runs that were made.
 
     Sizes are taken from the contents, as listed sizes may be missing or stale. Null, empty and broken files
     add what they hold, maybe nothing; files listed twice or with equal records add each record once. An
     empty table does nothing. Calling it again with the same files, also after a crash, changes nothing.
+
+    The files are taken in `parts` transactions, by the hash of their path, so a crash costs at most one of
+    them. Files that were merged are deleted once the retention time is over.
     """
     from ..sources.pose_text import pose_records
 
-    fresh = store.unseen(
-        files.select(
-            F.coalesce("path", F.lit("")).alias("path"), "id", "member_id", "site_id", "content", F.coalesce(F.octet_length("content"), F.lit(0)).alias("size"),
-            F.xxhash64("id", "member_id", "site_id", "content").alias("fingerprint"),
-        )
+    if parts < 1:
+        raise ValueError(f"there must be a part, not {parts}")
+    named = files.select(
+        F.coalesce("path", F.lit("")).alias("path"), "id", "member_id", "site_id", "content", F.coalesce(F.octet_length("content"), F.lit(0)).alias("size"),
+        F.xxhash64("id", "member_id", "site_id", "content").alias("fingerprint"),
     )
-    records = pose_records(fresh.select("id", "member_id", "site_id", "content")).withColumn("text_hash", F.unhex(F.sha2("text", 256)))
-    made = [r for r in [store.add(fresh, records)] if r]
-    made += store.compact()
+
+
+    def parse(fresh: DataFrame) -> DataFrame:
+        return pose_records(fresh.select("id", "member_id", "site_id", "content")).withColumn("text_hash", F.unhex(F.sha2("text", 256)))
+
+    made = [store.add(named.where(F.pmod(F.xxhash64("path"), F.lit(parts)) == part) if parts > 1 else named, parse) for part in range(parts)]
+    made = [r for r in made if r] + store.compact()
     store.vacuum()
     return made

@@ -26,8 +26,9 @@ SITE = ["member_id", "site_id"]
 
 
 def _packed(spark: SparkSession, folder: str) -> DataFrame:
-    store = pose_store(spark, work_path(spark, "poses"))
-    pack_pose_files(store, table(spark, folder, "pose_files"))
+    """A store that took the pose files in by two transactions, which were merged into one run of the next tier."""
+    store = pose_store(spark, work_path(spark, "poses"), fanout=2, top=4)
+    pack_pose_files(store, table(spark, folder, "pose_files"), parts=2)
     return store.read()
 
 
