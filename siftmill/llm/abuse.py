@@ -1,16 +1,19 @@
 """Abusive, hateful or sexual content (problem 9).
 
-A weighted lexicon is matched by one Aho-Corasick automaton over folded text: letter case, look-alike letters,
-digits and signs in place of letters, spread, stretched and masked words are undone first. Matches covered by
-a harmless phrase don't count.
+A weighted lexicon of word classes is matched by Aho-Corasick automata over folded text: letter case, look-alike
+letters, digits and signs in place of letters, spread, stretched and masked words are undone first. Matches that a
+harmless phrase covers don't count. What is left counts in passages that fit a pattern of classes, such as an
+address before an insult; the weight of a passage is normalised by its length, so that parts which stand far from
+one another weigh less.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
@@ -33,6 +36,7 @@ LONG = {"ß": "ss", "æ": "ae", "œ": "oe"}
 _CJK = "぀-ヿ㐀-䶿一-鿿"
 _INVISIBLE = re.compile("[­᠎​-‏‪-‮⁠-⁤︀-️﻿]")
 _FOREIGN = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
+_ELIDED = re.compile(r"(?<![^\W_])([cdjlmnst]|qu)['’](?=[a-z])")
 _MARKS = re.compile("[̀-ͯ]")
 _MASKED = re.compile(r"(?<![a-z*])[a-z]\*+[a-z](?![a-z*])")
 _SPREAD = re.compile(r"(?<![a-z0-9])(?:[a-z]([ ._\-*·]))(?:[a-z]\1){2,}[a-z](?![a-z0-9])")
@@ -48,6 +52,8 @@ _RUNS = re.compile(r"([a-z])\1+")
 _CJK_GAP = re.compile(f"(?<=[{_CJK}]) +(?=[{_CJK}])")
 
 MASK = "qmaskq"
+#: Names of peoples: words with their endings behind a word that points at them, in folded spelling.
+_PEOPLES = re.compile(r"(?:(?:those|these|of|for|ai|trust|iike|by|the|\|)|^) ((?:[a-z]{3,}(?:" + "|".join(e.replace("l", "i") for e in lexicon.PEOPLES) + r"))|[a-z]{3,}(?:ish|ese) peopie)(?= )|(?<= )([a-z]{3,}(?:ish|ese) peopie)(?= )")
 
 
 def fold(text: str) -> str:
@@ -55,7 +61,8 @@ def fold(text: str) -> str:
 
     Invisible characters and accents vanish, look-alike letters become Latin, digits and signs inside words
     become letters, words of letters spread by one sign or blank are joined, a word masked by asterisks
-    becomes MASK, runs of one letter shrink to one, blanks between Chinese or Japanese characters vanish.
+    becomes MASK, runs of one letter shrink to one, blanks between Chinese or Japanese characters vanish. An l
+    is written i, as 1 and ! may stand for either.
     """
     if not text.isascii():
         text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
@@ -66,7 +73,7 @@ def fold(text: str) -> str:
             text = text.translate(LOOKALIKES)
     else:
         text = text.lower()
-    text = text.replace("|", " ")
+    text = _ELIDED.sub(r"\1 ", text.replace("|", " "))
     for sign in _BREAKS:
         text = text.replace(sign, " | ")
     text = _ENDS.sub(" | ", text)
@@ -79,108 +86,155 @@ def fold(text: str) -> str:
         text = " ".join(text.translate(_SIGNS).split())
     else:
         text = _CJK_GAP.sub("", _OTHER.sub(" ", text.replace("'", "").replace("’", "")))
-    text = _RUNS.sub(r"\1", text)
+    text = _RUNS.sub(r"\1", text).replace("l", "i")
     return f" {text} | "
 
 
-def _spellings(entry: str) -> Iterator[str]:
-    """The folded entry, and with i for some of its l, as 1 and ! are read as i."""
-    folded = " ".join(fold(entry).replace("|", " ").split())
-    yield folded
-    places = [i for i, c in enumerate(folded) if c == "l"]
-    if len(places) <= 4:
-        for n in range(1, len(places) + 1):
-            for some in itertools.combinations(places, n):
-                yield "".join("i" if i in some else c for i, c in enumerate(folded))
-
-
 def _is_cjk(text: str) -> bool:
     return bool(re.search(f"[{_CJK}]", text))
 
 
-@lru_cache(maxsize=1)
-def automaton() -> ahocorasick.Automaton:
-    """The automaton of the lexicon; values are the length of an entry and its kinds with their weights.
+def _spelled(text: str) -> Iterator[str]:
+    """The folded entries of a class, a star at the end of a word replaced by each ending."""
+    for entry in lexicon.entries(text):
+        for full in [entry[:-1] + end for end in lexicon.ENDINGS] if entry.endswith("*") else [entry]:
+            yield " ".join(fold(full).replace("|", " ").split())
+
 
-    An entry may be of several kinds, such as a word that insults a person and degrades a group; one that is
-    harmless is nothing else.
+@dataclass(frozen=True)
+class Lexicon:
+    """Automata of the classes of which one must occur, and of those that are looked up beside them.
+
+    The value of an entry is its length without the blanks around it, how many blanks precede it in the key, and its classes with weights.
     """
-    found: dict[str, dict[str, float]] = {f" {MASK} ": {"insult": 0.6}}
-    for kind, text, weight in (*lexicon.GROUPS, ("harmless", lexicon.HARMLESS, 0.0)):
-        for entry in lexicon.entries(text):
-            for spelling in _spellings(entry):
-                key = spelling if _is_cjk(spelling) else f" {spelling} "
-                found.setdefault(key, {})[kind] = weight
+
+    core: ahocorasick.Automaton
+    beside: ahocorasick.Automaton
+    no_peoples: frozenset[str]
+
+
+def _automaton(classes: dict[str, tuple[str, float]], more: dict[str, dict[str, float]]) -> ahocorasick.Automaton:
+    found: dict[str, dict[str, float]] = {k: dict(v) for k, v in more.items()}
+    for kind, (text, weight) in classes.items():
+        for entry in _spelled(text):
+            if entry:
+                found.setdefault(entry, {})[kind] = weight
     made = ahocorasick.Automaton()
-    for key, kinds in found.items():
-        made.add_word(key, (len(key), (("harmless", 0.0),) if "harmless" in kinds else tuple(kinds.items())))
+    for entry, kinds in found.items():
+        blank = 0 if _is_cjk(entry) else 1
+        made.add_word(f" {entry} " if blank else entry, (len(entry), blank, tuple(kinds.items())))
     made.make_automaton()
     return made
 
 
-#: Summed weight from which a sentence is abusive, and words within which the two parts of a pair stand.
-THRESHOLD, NEAR_WORDS = 1.0, 40
-#: Kinds that weigh together.
-PAIRS = (("insult", "cue"), ("group", "degrading"), ("erotic", "cue"))
-
-
-def _sentence(matches: list[tuple[int, int, str, float]], harmless: list[tuple[int, int]], folded: str, words: int) -> float:
-    """The weight of a sentence, whatever its length: kinds count once each, pairs if their parts stand near each other."""
-    best: dict[str, float] = {}
-    counting = [m for m in matches if not any(a <= m[0] and m[1] <= b for a, b in harmless)]
-    for _, _, kind, weight in counting:
-        best[kind] = max(best.get(kind, 0.0), weight)
-    sure = max((best[k] for k in ("abuse", "hate", "sexual") if k in best), default=0.0)
-    both = max(best.get(a, 0.0) + (best.get(b, 0.0) if a in best else 0.0) for a, b in PAIRS)
-    if words > NEAR_WORDS and both > sure:
-        both = _near(counting, folded)
-    return max(sure, both)
-
-
-def _near(matches: list[tuple[int, int, str, float]], folded: str) -> float:
-    """The largest weight of a pair whose parts begin fewer than NEAR_WORDS words apart, or of a first part alone."""
-    found, at, place = 0.0, 0, None
-    seen: dict[str, dict[float, int]] = {}  # of each kind and weight, the word where it was last
-    for start, _, kind, weight in sorted(matches):
-        at, place = at + folded.count(" ", start if place is None else place, start), start
-        seen.setdefault(kind, {})[weight] = at
-        for a, b in PAIRS:
-            if kind == a:
-                found = max(found, weight)
-            if kind in (a, b):
-                for other, there in seen.get(b if kind == a else a, {}).items():
-                    if at - there < NEAR_WORDS:
-                        found = max(found, weight + other)
-    return found
-
-
-def measure(text: str | None, matcher: ahocorasick.Automaton) -> tuple[float, float]:
-    """The largest weight of a sentence, and the summed weight of abusive sentences for 1000 characters."""
+@lru_cache(maxsize=1)
+def automaton() -> Lexicon:
+    masked = {MASK: {"insult": 0.6, "adjective": 0.5, "obscene": 0.5, "erotic_part": 0.5, "take_you": 0.4}}
+    core = _automaton(lexicon.CORE, masked)
+    return Lexicon(core, _automaton({**lexicon.BESIDE, "harmless": (lexicon.HARMLESS, 0.0)}, {}), frozenset(_spelled(lexicon.NO_PEOPLES)))
+
+
+#: Weight from which a passage is abusive, and the words a passage may span before its weight is lowered in proportion.
+THRESHOLD, PASSAGE = 1.0, 14
+#: Letters that may stand between parts, for each word that may, so that it holds in writing without blanks too.
+LETTERS = 10
+
+Match = tuple[int, int, float]  # first and last character, weight
+
+
+def _parsed(pattern: tuple[str | int, ...]) -> tuple[tuple[str, ...], tuple[int, ...]]:
+    return tuple(p for p in pattern if isinstance(p, str)), tuple(p for p in pattern if isinstance(p, int))
+
+
+_PATTERNS = [_parsed(p) for p in lexicon.PATTERNS]
+
+
+def _passage(found: dict[str, list[Match]], sentence: str) -> float:
+    """The largest weight of a passage that fits a pattern, normalised by the words it spans."""
+    blanks: list[int] | None = None
+    peak = 0.0
+    for kinds, gaps in _PATTERNS:
+        if any(k not in found for k in kinds):
+            continue
+        if len(kinds) == 1:
+            peak = max(peak, *(w for _, _, w in found[kinds[0]]))
+            continue
+        if blanks is None:
+            blanks = [i for i, c in enumerate(sentence) if c == " "]
+        # Passages that end with the parts seen so far: last character, first character, weight.
+        open_ = [(last, first, w) for first, last, w in found[kinds[0]]]
+        for kind, gap in zip(kinds[1:], gaps, strict=True):
+            longer, starts = [], [m[0] for m in found[kind]]
+            for last, first, weight in open_:
+                for n in range(bisect_right(starts, last), len(starts)):
+                    start, end, more = found[kind][n]
+                    if start - last > LETTERS * (gap + 1) + 4:
+                        break
+                    if bisect_right(blanks, start) - bisect_right(blanks, last) - 1 <= gap:
+                        longer.append((end, first, weight + more))
+            open_ = longer
+            if not open_:
+                break
+        for last, first, weight in open_:
+            words = bisect_right(blanks, last) - bisect_right(blanks, first) + 1
+            peak = max(peak, weight * PASSAGE / max(PASSAGE, words))
+    return peak
+
+
+def _sentence(core: list[tuple[int, int, tuple[tuple[str, float], ...]]], sentence: str, words: Lexicon) -> float:
+    """The weight of a sentence with the core matches found in it; what a harmless phrase covers, or is said of a thing, doesn't count."""
+    matches = list(core)
+    harmless: list[tuple[int, int]] = []
+    things: set[int] = set()
+    ended: set[int] = set()
+    for last, (length, blank, kinds) in words.beside.iter(sentence):
+        last -= blank
+        if kinds[0][0] == "harmless" or kinds[-1][0] == "harmless":
+            harmless.append((last - length + 1, last))
+            continue
+        if any(k == "thing" for k, _ in kinds):
+            things.add(last - length + 1)
+            ended.add(last)
+        matches.append((last - length + 1, last, kinds))
+    found: dict[str, list[Match]] = {}
+    said_of_thing = -len(sentence) - 2 * LETTERS
+    for first, last, kinds in sorted(matches):
+        if any(a <= first and last <= b for a, b in harmless):
+            continue
+        for kind, weight in kinds:
+            if kind in ("adjective", "insult", "demeaning", "obscene") and last + 2 in things:
+                continue
+            if kind == "is" and first - 2 in ended:
+                said_of_thing = last
+                continue
+            if kind in ("insult", "demeaning") and first - said_of_thing <= 2 * LETTERS:
+                continue
+            found.setdefault(kind, []).append((first, last, weight))
+    return _passage(found, sentence)
+
+
+def measure(text: str | None, words: Lexicon) -> tuple[float, float]:
+    """The largest weight of a passage, and the summed weight of abusive sentences for 1000 characters."""
     if not text or text.isspace():
         return 0.0, 0.0
     folded = fold(text)
+    hits = [(last - blank - length + 1, last - blank, kinds) for last, (length, blank, kinds) in words.core.iter(folded)]
+    for m in _PEOPLES.finditer(folded):
+        if m[m.lastindex] not in words.no_peoples:
+            hits.append((m.start(m.lastindex), m.end(m.lastindex) - 1, (("group", 0.5),)))
+    if not hits:
+        return 0.0, 0.0
+    hits.sort()
     peak = total = 0.0
-    matches: list[tuple[int, int, str, float]] = []
-    harmless: list[tuple[int, int]] = []
-    start_of, end_of = 0, folded.find("|")
-    for last, (length, kinds) in matcher.iter(folded):
-        if last > end_of:
-            if matches:
-                w = _sentence(matches, harmless, folded, folded.count(" ", start_of, end_of))
-                peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
-                matches = []
-            harmless = []
-            start_of = folded.rfind("|", 0, last) + 1
-            end_of = folded.find("|", last)
-        start = last - length + 1
-        for kind, weight in kinds:
-            if kind == "harmless":
-                harmless.append((start, last))
-            else:
-                matches.append((start, last, kind, weight))
-    if matches:
-        w = _sentence(matches, harmless, folded, folded.count(" ", start_of, end_of))
-        peak, total = max(peak, w), total + (w if w >= THRESHOLD else 0)
+    at = 0
+    while at < len(hits):
+        start, end = folded.rfind("|", 0, hits[at][0]) + 1, folded.find("|", hits[at][0])
+        inside = []
+        while at < len(hits) and hits[at][0] < end:
+            inside.append((hits[at][0] - start, hits[at][1] - start, hits[at][2]))
+            at += 1
+        weight = _sentence(inside, folded[start:end], words)
+        peak, total = max(peak, weight), total + (weight if weight >= THRESHOLD else 0)
     return peak, total * 1000 / max(len(folded), 200)
 
 
@@ -188,7 +242,7 @@ _MEASURE = "struct<peak: double, score: double>"
 
 
 def abuse_measure(text: Column | str) -> Column:
-    """A struct of `peak`, the largest weight of any sentence, and `score`, the abuse per 1000 characters.
+    """A struct of `peak`, the largest normalised weight of any passage, and `score`, the abuse per 1000 characters.
 
     Null, empty and blank texts measure 0. Texts are measured whole, in one Arrow pass without shuffle.
     """
@@ -205,8 +259,8 @@ def abuse_measure(text: Column | str) -> Column:
 def score_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Every document with `peak`, `score` and `flagged`, which is true from a peak of THRESHOLD on.
 
-    `score` is normalised by the length of the text, while `peak` looks at single sentences, so that one
-    threat in a long text is found. Extra columns are ignored, repeated keys are kept.
+    `peak` is the weight of the heaviest passage, normalised by the length of the passage, so that one threat
+    in a long text is found; `score` is the weight of all abusive sentences normalised by the length of the text. Extra columns are ignored, repeated keys are kept.
     """
     return documents.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), abuse_measure(text).alias("m")).select(
         "doc_id", "source", "m.peak", "m.score", (F.col("m.peak") >= THRESHOLD).alias("flagged")

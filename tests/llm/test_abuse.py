@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from siftmill.llm import lexicon
 from siftmill.llm.abuse import THRESHOLD, automaton, fold, measure, score_documents, source_rates
 
 ABUSIVE = [
@@ -52,12 +53,33 @@ def test_run_on_sentences(text, before, after):
 
 
 def test_parts_far_apart():
-    """An insult and a cue are a pair up to a number of words, in either order and beside others that are too far."""
-    for first, second in (("idiot", "you"), ("you", "idiot")):
-        assert measure(f"{first} " + "word " * 38 + f"{second} " + "word " * 60, automaton())[0] >= THRESHOLD
-        assert measure(f"{first} " + "word " * 60 + f"{second} " + "word " * 60, automaton())[0] < THRESHOLD
-        assert measure(f"{first} " + "word " * 60 + f"{second} " + "word " * 60 + f"{second} " + "word " * 20 + first, automaton())[0] >= THRESHOLD
-    assert measure("idiot. " + "word " * 60 + "you", automaton())[0] < THRESHOLD
+    """Parts of a pattern count within its gaps, in its order, and in one sentence."""
+    assert measure("you are such a big old idiot", automaton())[0] >= THRESHOLD
+    for text in ("you are " + "word " * 9 + "an idiot proof thing", "you " + "word " * 5 + "idiot", "you. idiot", "idiot " * 50, "you can kill the idiot process now", "word you " * 50):
+        assert measure(text, automaton())[0] < THRESHOLD, text
+    far, near = (measure("wear that tight skirt again " + "word " * n + "it turned me on", automaton())[0] for n in (11, 0))
+    assert THRESHOLD <= far < near  # the longer passage weighs less
+
+
+def test_each_class_and_pattern():
+    """Every class is part of a pattern, and every pattern reaches the threshold when its parts stand side by side."""
+    weights = {k: w for k, (_, w) in {**lexicon.CORE, **lexicon.BESIDE}.items()}
+    used = {p for pattern in lexicon.PATTERNS for p in pattern if isinstance(p, str)}
+    assert used | {"thing"} == set(weights)
+    for pattern in lexicon.PATTERNS:
+        kinds = [p for p in pattern if isinstance(p, str)]
+        assert sum(weights[k] for k in kinds) >= THRESHOLD and any(k in lexicon.CORE for k in kinds), pattern
+
+
+def test_an_entry_with_many_similar_letters():
+    """l, i, 1 and ! may stand for each other in any number of places."""
+    for text in ("do us all a favour and drink bleach", "do us a!1 a favour and dr!nk b1each", "mentaIIy 1ll is what he is, k1LL yourseIf"):
+        assert measure(text, automaton())[0] >= THRESHOLD
+
+
+def test_things_are_no_persons():
+    for text in ("The scheduler is a piece of shit.", "That stupid script!", "a useless file of the month", "The idiot proof lid", "this job is a fucking moron"):
+        assert measure(text, automaton())[0] < THRESHOLD, text
 
 
 def test_rates(spark):
@@ -77,4 +99,4 @@ def test_accuracy_on_reviews(spark, folder):
     pairs = [(found[d], sum(v) / len(v) > 0.5) for d, v in votes.items()]
     hits = sum(f and y for f, y in pairs)
     assert hits / sum(f for f, _ in pairs) > 0.9
-    assert hits / sum(y for _, y in pairs) > 0.75
+    assert hits / sum(y for _, y in pairs) > 0.85
