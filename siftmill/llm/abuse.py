@@ -73,7 +73,9 @@ def fold(text: str) -> str:
             text = text.translate(LOOKALIKES)
     else:
         text = text.lower()
-    text = _ELIDED.sub(r"\1 ", text.replace("|", " "))
+    text = text.replace("|", " ")
+    if "'" in text or "’" in text:
+        text = _ELIDED.sub(r"\1 ", text)
     for sign in _BREAKS:
         text = text.replace(sign, " | ")
     text = _ENDS.sub(" | ", text)
@@ -139,6 +141,7 @@ THRESHOLD, PASSAGE = 1.0, 14
 #: Letters that may stand between parts, for each word that may, so that it holds in writing without blanks too.
 LETTERS = 10
 
+_PEOPLE_ENDS = ("ish peopie ", "ese peopie ", *(f"{e} " for e in lexicon.PEOPLES))
 Match = tuple[int, int, float]  # first and last character, weight
 
 
@@ -219,7 +222,7 @@ def measure(text: str | None, words: Lexicon) -> tuple[float, float]:
         return 0.0, 0.0
     folded = fold(text)
     hits = [(last - blank - length + 1, last - blank, kinds) for last, (length, blank, kinds) in words.core.iter(folded)]
-    for m in _PEOPLES.finditer(folded):
+    for m in _PEOPLES.finditer(folded) if any(e in folded for e in _PEOPLE_ENDS) else ():
         if m[m.lastindex] not in words.no_peoples:
             hits.append((m.start(m.lastindex), m.end(m.lastindex) - 1, (("group", 0.5),)))
     if not hits:

@@ -24,6 +24,8 @@ from .tokens import token_counts
 MOST_PATTERNS = 4_096
 #: Hash ranges of a pattern in which texts are ordered one by one.
 RANGES = 1_024
+#: Size classes for each doubling of tokens, and texts of a class that are offered to close the gap of a source.
+CLASSES, OFFERED = 4, 8
 
 
 class Flow:
@@ -220,15 +222,19 @@ class Mixture:
     total: int
 
 
-def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int | None = None, vocabulary: str | None = None) -> Mixture:
+def mix(
+    documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int | None = None, vocabulary: str | None = None, stretch: float = 1.0
+) -> Mixture:
     """A mixture of `documents` (`doc_id, text, source`) by `targets` (`source, target_share, max_repeats`).
 
     Sizes are tokens. Without `total` the mixture is as large as it can be with every source that has texts at
     its share of the whole; shares of sources without texts are spread over the others in proportion. With a
-    larger `total`, sources that can't fill their quota fall short, and the report says so. Equal texts are
-    one text, which can serve any of its sources, but is used no more often than each of them allows. Which texts are used, and how often, follows from `seed` and the texts alone, not from the layout; in
-    each pattern a quota is met to within one text. A chosen row names the smallest `doc_id` of the text in
-    the source.
+    larger `total`, or with `stretch` times that largest size, sources that can't fill their quota fall short,
+    and the report says so. Equal texts are one text, which can serve any of its sources, but is used no more
+    often than each of them allows. Which texts are used, and how often, follows from `seed` and the texts
+    alone, not from the layout. The flow is rounded to whole texts, and what that leaves is closed by single
+    uses, so that a quota which the flow meets is met to within the smallest text at hand. A chosen row names
+    the smallest `doc_id` of the text in the source.
 
     Null, empty and blank texts, null sources and sources without target take no part. Null, zero or
     negative shares are no target; a null `max_repeats` is 1, and below 1 the source isn't used. A source listed twice has its largest share and its smallest number of repeats.
@@ -254,27 +260,35 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
     names = sorted(goals)
     summed = sums.select("tokens", *[F.array_contains("pattern", s).alias(f"s{i}") for i, s in enumerate(names)]).toArrow()
     member = np.array([summed[f"s{i}"].to_numpy() for i in range(len(names))], bool).reshape(len(names), summed.num_rows)
-    plan = _plan(names, member, summed["tokens"].to_numpy(), {s: (r["target_share"], r["max_repeats"]) for s, r in goals.items()}, total)
+    plan = _plan(names, member, summed["tokens"].to_numpy(), {s: (r["target_share"], r["max_repeats"]) for s, r in goals.items()}, total, stretch)
 
     # Where the middle of each text lies among those of its pattern, in seeded order: ranges of hashes first, then inside of a range.
     order = F.md5(F.concat(F.lit(f"{seed}:"), "text_key"))
-    placed = texts.select("pattern", "places", "tokens", order.alias("h")).withColumn("range", (F.conv(F.substring("h", 1, 8), 16, 10).cast("long") % RANGES).cast("int"))
+    placed = texts.select("text_key", "pattern", "places", "tokens", order.alias("h")).withColumn("range", (F.conv(F.substring("h", 1, 8), 16, 10).cast("long") % RANGES).cast("int"))
     ranges = placed.groupBy("pattern", "range").agg(F.sum("tokens").alias("n"))
     before = Window.partitionBy("pattern").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select("pattern", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     within = Window.partitionBy("pattern", "range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     at = (
         placed.withColumn("inside", F.coalesce(F.sum("tokens").over(within), F.lit(0))).join(starts, ["pattern", "range"])
-        .select(_key("pattern").alias("pattern"), "places", "tokens", F.expr("start + inside + tokens div 2").alias("at"))
+        .select("text_key", "h", _key("pattern").alias("pattern"), "places", "tokens", F.expr("start + inside + tokens div 2").alias("at"))
     )
     intervals = spark.createDataFrame(plan.intervals)
     if member.shape[1] <= MOST_PATTERNS:
         intervals = F.broadcast(intervals)
     # Use r of a text lies r times the pattern's tokens behind its first; those in the interval count.
     uses = F.expr("(high - 1 - at + whole) div whole - (low - 1 - at + whole) div whole")
-    used = at.join(intervals, "pattern").withColumn("uses", uses).where("uses > 0")
+    picked = at.join(intervals, "pattern").withColumn("uses", uses).where("uses > 0").select("text_key", "h", "places", "tokens", "source", "uses")
+    picked = materialize(picked, "picked-texts")
+    gaps = {s: q for s, q in plan.quotas.items()}
+    for r in picked.groupBy("source").agg(F.sum(F.col("uses") * F.col("tokens")).alias("n")).collect():  # one row for each source
+        gaps[r["source"]] -= r["n"]
+    caps = {s: int(r["max_repeats"]) for s, r in goals.items()}
+    closing = _closing(texts, picked, {s: g for s, g in gaps.items() if g}, caps, order)
+    whole_use = picked.select("text_key", "places", "tokens", "source", "uses").unionByName(closing)
     place = F.filter("places", lambda p: p["source"] == F.col("source"))[0]["doc_id"]
-    chosen = materialize(used.select(place.alias("doc_id"), "source", "tokens", "uses").groupBy("doc_id", "source").agg(F.sum("uses").alias("uses"), F.max("tokens").alias("tokens")), "mixture")
+    chosen = whole_use.select(place.alias("doc_id"), "source", "tokens", "uses").groupBy("doc_id", "source").agg(F.sum("uses").alias("uses"), F.max("tokens").alias("tokens"))
+    chosen = materialize(chosen.where("uses > 0"), "mixture")
     got = chosen.groupBy("source").agg(F.sum(F.col("uses") * F.col("tokens")).alias("tokens"), F.count(F.lit(1)).alias("texts"), F.max("uses").alias("most_uses"))
     share = spark.createDataFrame([(s, x, plan.quotas[s]) for s, x in plan.shares.items()], "source string, share double, quota long")
     whole = Window.partitionBy()  # one row for each source of the mixture
@@ -287,6 +301,71 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 1000, total: int |
     return Mixture(chosen, report, sum(plan.quotas.values()))
 
 
+def _fitting(rows: list[tuple[int, int]], left: int) -> tuple[list[int], int]:
+    """Of rows (size, number) in falling order: those that fit what is left, one after the other, and how far they miss it."""
+    taken, rest = [], []
+    for n, i in rows:
+        if n <= left:
+            taken.append(i)
+            left -= n
+        else:
+            rest.append((n, i))
+    if rest and rest[-1][0] - left < left:  # the smallest of the others, if that comes nearer
+        taken.append(rest[-1][1])
+        left = abs(rest[-1][0] - left)
+    return taken, left
+
+
+def _closing(texts: DataFrame, picked: DataFrame, gaps: dict[str, int], caps: dict[str, int], order: Column) -> DataFrame:
+    """Single uses to add (1) or to take away (-1), `text_key, places, tokens, source, uses`, that bring each source to its quota.
+
+    The flow is cut into whole texts by rounding, which leaves a gap in each source. It is closed by texts from
+    the largest that fits it down to the smallest; what is too much goes in the same way, or by a larger text
+    for which others come in. Offered are the first OFFERED texts of every size class, in seeded order, so no
+    more than some hundred texts of a source are looked at, whatever its size. Uses are added where every
+    source of a text allows one more, and an added text is offered to one of its sources only.
+    """
+    spark, schema = texts.sparkSession, "text_key string, places array<struct<source: string, doc_id: long>>, tokens long, source string, uses long"
+    if not gaps:
+        return spark.createDataFrame([], schema)
+    gap = F.create_map(*[F.lit(x) for item in sorted(gaps.items()) for x in item])
+    cap = F.create_map(*[F.lit(x) for item in sorted(caps.items()) for x in item])
+    fields = ["text_key", "places", "tokens", "source", "h"]
+    less = picked.where(F.element_at(gap, F.col("source")) < 0).select(*fields, F.lit(-1).cast("long").alias("uses"))
+    used = picked.groupBy("text_key").agg(F.sum("uses").alias("used"))
+    short = F.filter("pattern", lambda s: F.element_at(gap, s).isNotNull())
+    spare = (
+        texts.withColumn("short", short).where(F.size("short") > 0).withColumn("h", order).join(used, "text_key", "left")
+        .where(F.coalesce("used", F.lit(0)) < F.array_min(F.transform("pattern", lambda s: F.element_at(cap, s))))
+        .withColumn("source", F.element_at("short", (F.pmod(F.xxhash64("text_key"), F.size("short")) + 1).cast("int"))).select(*fields, F.lit(1).cast("long").alias("uses"))
+    )
+    by_size = Window.partitionBy("source", "uses", "size").orderBy("h")
+    offered = (
+        less.unionByName(spare).withColumn("size", F.floor(F.log2("tokens") * CLASSES).cast("int"))
+        .withColumn("n", F.row_number().over(by_size)).where(F.col("n") <= OFFERED)
+        .select("text_key", "places", F.col("tokens").cast("long").alias("tokens"), "source", "h", "uses", F.element_at(gap, F.col("source")).alias("gap"))
+    )
+
+    def close(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table["tokens"].to_pylist(), table["h"].to_pylist(), range(len(table)), table["uses"].to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
+        more, fewer = [(n, i) for n, _, i, uses in rows if uses > 0], [(n, i) for n, _, i, uses in rows if uses < 0]
+        gap = table["gap"][0].as_py()
+        if gap > 0:
+            taken, _ = _fitting(more, gap)
+        else:
+            taken, left = _fitting(fewer, -gap)
+            larger = [(n, i) for n, i in fewer if n >= -gap]
+            if larger:  # one that is too large, and others in its place
+                n, i = larger[-1]
+                instead, rest = _fitting(more, n + gap)
+                if rest < left:
+                    taken = [i, *instead]
+        found = table.take(pa.array(taken, pa.int64()))
+        return pa.table([found[c] for c in ("text_key", "places", "tokens", "source", "uses")], names=["text_key", "places", "tokens", "source", "uses"])
+
+    return offered.groupBy("source").applyInArrow(close, schema)
+
+
 def make_plan(patterns: list[tuple[tuple[str, ...], int]], goals: dict[str, tuple[float, int]], total: int | None = None) -> Plan:
     """Shares, quotas and intervals of a mixture; see mix()."""
     names = sorted({*goals, *(s for sources, _ in patterns for s in sources)})
@@ -294,7 +373,7 @@ def make_plan(patterns: list[tuple[tuple[str, ...], int]], goals: dict[str, tupl
     return _plan(names, member, weights, goals, total)
 
 
-def _plan(names: list[str], member: np.ndarray, weights: np.ndarray, goals: dict[str, tuple[float, int]], total: int | None) -> Plan:
+def _plan(names: list[str], member: np.ndarray, weights: np.ndarray, goals: dict[str, tuple[float, int]], total: int | None, stretch: float = 1.0) -> Plan:
     uses = {s: n for s, (_, n) in goals.items() if n >= 1}
     present = [i for i, s in enumerate(names) if s in uses and weights[member[i]].any()]
     uses = {names[i]: uses[names[i]] for i in present}
@@ -302,7 +381,7 @@ def _plan(names: list[str], member: np.ndarray, weights: np.ndarray, goals: dict
     shares = {s: goals[s][0] / whole for s in sorted(uses)}
     fit = member[present]
     caps = _caps(fit, uses)
-    size = _largest(fit, weights, caps, shares) if total is None else total
+    size = int(_largest(fit, weights, caps, shares) * stretch) if total is None else total
     quotas = {s: int(x * size) for s, x in shares.items()}
     flow = Flow(fit, weights, caps, np.array([quotas[s] for s in sorted(uses)], np.int64))
     flow.fill_evenly()

@@ -30,6 +30,42 @@ _CUTS = f"""
     GROUP BY c.member_id, c.site_id, g.permille
 """
 
+#: Rows of new batches one after the other: each is accepted unless an accepted row that it may look at is equal or one edit away.
+_REPEATS = r"""
+    WITH RECURSIVE entry AS (
+        SELECT batch_no, regexp_replace(e, '^[\s\x{A0}\x{200B}\x{3000}]+|[\s\x{A0}\x{200B}\x{3000}]+$', '', 'g') AS e
+        FROM (SELECT batch_no, unnest(exclude_inputs) AS e FROM sample_specs WHERE status = 'new')),
+    rule AS (
+        SELECT batch_no, rtrim(e, '/') AS folder, e AS file, regexp_matches(e, '[*?]') AS wild,
+               replace(replace(regexp_replace(e, '([\\.^$|()\[\]{}+])', '\\\1', 'g'), '*', '[^/]*'), '?', '[^/]') AS pattern
+        FROM entry WHERE e <> ''),
+    named AS (
+        SELECT DISTINCT r.batch_no, p.path FROM rule r, (SELECT DISTINCT path FROM selections WHERE path IS NOT NULL) p
+        WHERE CASE WHEN r.wild THEN regexp_full_match(p.path, r.pattern)
+                   ELSE p.path = r.file OR (contains(p.path, '/') AND regexp_replace(p.path, '/[^/]*$', '') = r.folder) END),
+    held AS (
+        SELECT row_no, batch_no, path, status, lower(regexp_replace(id, '[^0-9A-Za-z]', '', 'g')) AS k
+        FROM selections JOIN (SELECT DISTINCT batch_no, status FROM sample_specs WHERE status IN ('accepted', 'new')) USING (batch_no) WHERE id IS NOT NULL),
+    link AS MATERIALIZED (
+        SELECT n.row_no, n.batch_no, o.row_no AS there, o.status
+        FROM held n JOIN held o ON n.status = 'new' AND n.row_no <> o.row_no AND abs(length(n.k) - length(o.k)) <= 1 AND damerau_levenshtein(n.k, o.k) <= 1
+        WHERE (o.batch_no = n.batch_no AND o.row_no < n.row_no)
+           OR ((o.status = 'accepted' OR o.batch_no < n.batch_no) AND EXISTS (SELECT 1 FROM named f WHERE f.batch_no = n.batch_no AND f.path = o.path))),
+    old AS MATERIALIZED (SELECT row_no, min(there) AS there FROM link WHERE status = 'accepted' GROUP BY row_no),
+    open AS MATERIALIZED (
+        SELECT row_no, list(there) AS there, row_number() OVER (ORDER BY batch_no, row_no) AS n
+        FROM link WHERE status = 'new' AND row_no NOT IN (SELECT row_no FROM old) GROUP BY batch_no, row_no),
+    out AS MATERIALIZED (SELECT list(row_no) AS rows FROM old),
+    step AS (
+        SELECT 0::BIGINT AS n, coalesce((SELECT rows FROM out), []::BIGINT[]) AS refused
+        UNION ALL
+        SELECT o.n, CASE WHEN len(list_filter(o.there, lambda x: NOT list_contains(s.refused, x))) > 0 THEN list_append(s.refused, o.row_no) ELSE s.refused END
+        FROM step s JOIN open o ON o.n = s.n + 1),
+    final AS (SELECT refused FROM step ORDER BY n DESC LIMIT 1),
+    hit AS (SELECT row_no, there FROM old UNION ALL SELECT row_no, there FROM link WHERE status = 'new' AND NOT list_contains((SELECT refused FROM final), there))
+    SELECT min(there) AS accepted_row_no, row_no FROM hit GROUP BY row_no
+"""
+
 ORACLE: dict[str, str] = {
     "p1_found": """WITH v AS (SELECT vec_no, usrcat::DOUBLE[] AS x FROM features WHERE usrcat_valid AND len(usrcat) = 60
             AND len(list_filter(usrcat, lambda e: e IS NOT NULL AND isfinite(e))) = 60),
@@ -38,8 +74,13 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT least(a, b) AS vec_no_a, greatest(a, b) AS vec_no_b FROM near WHERE place <= 5""",
     "p3_found": f"SELECT first_row_no, row_no FROM ({_COPIES}) WHERE row_no <> first_row_no",
     "p3_records": f"SELECT DISTINCT first_row_no, copies FROM ({_COPIES}) WHERE copies > 1",
+    "p4_found": _REPEATS,
     "p5_found": f"SELECT r.pose_no FROM ({_COUNTING}) r JOIN ({_CUTS}) c ON r.member_id = c.member_id AND r.site_id = c.site_id WHERE r.affinity_kcal_mol <= c.cutoff",
     "p5_cutoffs": _CUTS,
     "p6_found": f"""SELECT pose_no FROM (SELECT pose_no, row_number() OVER (PARTITION BY id
         ORDER BY affinity_kcal_mol, site_id NULLS FIRST, mode NULLS FIRST, pose_no) AS rank FROM ({_COUNTING})) WHERE rank <= 3""",
+    "p8_goals": r"""WITH t AS (SELECT source, max(target_share) AS target_share, min(coalesce(max_repeats, 1))::BIGINT AS max_repeats FROM mix_targets
+            WHERE target_share > 0 AND source IS NOT NULL GROUP BY source),
+        f AS (SELECT *, max_repeats >= 1 AND source IN (SELECT source FROM documents WHERE regexp_matches(text, '\S') AND source IS NOT NULL) AS fit FROM t)
+        SELECT source, target_share, max_repeats, round(CASE WHEN fit THEN target_share / sum(target_share) FILTER (fit) OVER () ELSE 0 END, 9) AS share FROM f""",
 }

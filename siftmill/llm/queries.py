@@ -80,6 +80,17 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).report
 
 
+def p8_goals(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares the mixture goes for: those of the targets, spread over the sources that have texts."""
+    report = mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")).report
+    return report.select("source", "target_share", "max_repeats", F.round("share", 9).alias("share"))
+
+
+def p8_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of a mixture of four times the largest size at which all quotas are met: small sources are repeated as often as they may be."""
+    return mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), stretch=4.0).report
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with abusive, hateful or sexual content."""
     return score_documents(table(spark, folder, "documents")).where("flagged").select("doc_id")
@@ -91,5 +102,5 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p3_found, p3_records, p4_found, p5_found, p5_cutoffs, p6_found, p7_ids, p8_mixture, p8_shares, p9_found, p9_rates)
+    f.__name__: f for f in (p1_found, p3_found, p3_records, p4_found, p5_found, p5_cutoffs, p6_found, p7_ids, p8_mixture, p8_shares, p8_goals, p8_repeated, p9_found, p9_rates)
 }
