@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from siftmill.llm import neighbours
-from siftmill.llm.neighbours import Grid, block_search, nearest_pairs
+from siftmill.llm.neighbours import Codes, Grid, block_search, nearest_pairs
 
 SCHEMA = "vec_no long, id string, usrcat array<float>, usrcat_valid boolean, number string, x string, copies int, cell int"
 
@@ -52,7 +52,7 @@ def test_against_brute_force(spark, shape):
 
 def test_many_cells_and_slabs(spark, monkeypatch):
     """Slabs, chunks and visits so small that every path is taken."""
-    for name, value in (("SLAB", 16), ("CHUNK", 8), ("TILE", 8), ("FIRST_CELLS", 1), ("SAMPLE", 64)):
+    for name, value in (("BLOCK", 16), ("CHUNK", 8), ("TILE", 8), ("WIDE", 8), ("FIRST_BLOCKS", 1), ("SAMPLE", 64), ("HELD", 100), ("SPREAD", 5)):
         monkeypatch.setattr(neighbours, name, value)
     x = clustered(300, 8, 2)
     assert got(table(spark, x.tolist()), 8) == brute(x.tolist(), 5)
@@ -85,9 +85,39 @@ def test_bounds_hold():
             rows = cell[:50] != c
             assert (least[rows, c] <= true[:, cell == c].min(1)[rows] + 1e-9).all()
     numbers = np.arange(500)
-    best = block_search(grid, x[:50], numbers[:50], x, numbers, 3, np.full(50, np.inf))
+    best = block_search(x[:50], numbers[:50], x, numbers, 3, np.full(50, np.inf))
     np.fill_diagonal(true[:, :50], np.inf)
-    assert np.allclose(np.sqrt(best.square).reshape(50, 3), np.sort(true, 1)[:, :3])
+    assert np.allclose(np.sqrt(best.square), np.sort(true, 1)[:, :3])
+
+
+def test_blocks_hold_every_cell(monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    x = np.r_[clustered(500, 10, 3), np.repeat(clustered(1, 10, 4), 100, 0)]
+    grid = Grid(x[::3], 30)
+    cell = neighbours._nearest(x, grid.centroids)
+    count = np.bincount(cell, minlength=len(grid.centroids))
+    used = np.flatnonzero(count)
+    grid.fill(used, np.full(len(used), 99.0), count[used])
+    rows = np.zeros(grid.blocks)
+    for c in used:
+        assert grid.parts[c] == -(-count[c] // 40) or grid.parts[c] == 1
+        rows[grid.base[c] : grid.base[c] + grid.parts[c]] += count[c] / grid.parts[c]
+    assert rows.sum() == 600 and 0 < rows.min() and rows.max() <= 40
+    # With an endless bound all blocks but the own one are open, each once.
+    own = cell[:7]
+    block = grid.base[own] + grid.parts[own] - 1
+    for mine, blocks in zip(block, grid.open_blocks(x[:7], own, block, np.full(7, np.inf)), strict=True):
+        assert sorted([mine, *blocks]) == list(range(grid.blocks))
+
+
+@pytest.mark.parametrize("size", [256, 257, 1500])
+def test_products_of_codes_are_exact(size):
+    """Also where all codes are at the end of their range and sums of squares pass what float32 holds."""
+    x = np.where(np.random.default_rng(1).random((40, size)) < 0.5, -1.0, 1.0)
+    codes, missed = Codes(x).of(x)
+    assert np.abs(codes).max() == 127 and missed.max() < 1
+    whole = codes.astype(np.int64)
+    assert ((codes**2).sum(1)[:, None] + (codes**2).sum(1) - 2 * (codes @ codes.T) == ((whole[:, None] - whole[None]) ** 2).sum(2)).all()
 
 
 def test_sql(spark, folder, database):
