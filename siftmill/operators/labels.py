@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
 from .ranks import coarse, first_reaching
 
 
@@ -33,10 +35,12 @@ def require_threshold(found: DataFrame) -> float:
 
 
 def labelled(rows: DataFrame, thresholds: DataFrame, column: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Adds `active`: 1 at or below the threshold, else 0, also for null and NaN. Groups without threshold are dropped."""
+    """Adds `active`: 1 at or below the threshold, else 0, also for null and NaN. Groups without threshold are dropped; null is a group."""
     limits = thresholds.select(*groups, "threshold")
     if groups:
-        joined = rows.join(limits, list(groups))
+        limits = thresholds.select(*(F.col(g).alias(f"__{g}") for g in groups), "threshold")
+        same = reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups))
+        joined = rows.join(limits, same).drop(*(f"__{g}" for g in groups))
     else:
         one = limits.first()
         joined = rows.withColumn("threshold", F.lit(one[0] if one else None).cast("double")).where(F.lit(one is not None))
@@ -65,6 +69,7 @@ def enrichment(rows: DataFrame, score: str, active: str, key: str, percents: Seq
     """
     value = F.col(score).cast("double")
     fit = rows.select(F.col(key).alias("k"), F.when(~F.isnan(value), value).alias("s"), F.col(active).cast("long").alias("y")).withColumn("bin", coarse(F.col("s")))
+    fit = materialize(fit, "ranked-rows")  # read twice, as the rows may come from a join
     sums = fit.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("hits")).collect()  # one row for each bin
     spark, schema = rows.sparkSession, "percent double, precision double, recall double, caught long, actives long"
     n, actives = sum(r["n"] for r in sums), sum(r["hits"] for r in sums)

@@ -7,6 +7,7 @@ the same after any repartitioning, and found with a group limit before and after
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,15 +53,21 @@ def select_top_and_random(
 ) -> DataFrame:
     """The best-scored rows of every group and a random draw of the others, with `selection_group` top or random.
 
-    Rows without score take part in neither. Both picks come from one window each over the same grouping, so
-    the rows are shuffled once.
+    Rows without score take part in neither. Rows with equal keys are one candidate: if one is among the best,
+    none of them is drawn.
+
+    Both picks are group limits before and after a shuffle, so of a group no more than the rows that may be
+    picked are sent or sorted: the best `top`, and the first top + random lots, of which at most `top` belong to
+    the best.
     """
     fit = rows.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
-    by_score = Window.partitionBy(*groups).orderBy(F.col(score).desc(), F.col(key))
-    ranked = fit.withColumn("__top", F.row_number().over(by_score) <= top)
-    by_draw = Window.partitionBy(*groups).orderBy("__top", draw(key, seed), F.col(key))
-    picked = ranked.withColumn("__place", F.row_number().over(by_draw)).where(F.col("__top") | (F.col("__place") <= random))
-    return picked.withColumn("selection_group", F.when(F.col("__top"), "top").otherwise("random")).drop("__top", "__place")
+    best = _first(fit, groups, [F.col(score).desc(), F.col(key)], top)
+    lots = Window.partitionBy(*groups).orderBy(draw(key, seed), F.col(key))
+    drawn = fit.withColumn("__place", F.dense_rank().over(lots)).where(F.col("__place") <= top + random).drop("__place")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*groups, key)]
+    others = drawn.alias("d").join(best.select(*dict.fromkeys((*groups, key))).alias("b"), reduce(lambda x, y: x & y, same), "left_anti")
+    others = _first(others, groups, [draw(key, seed), F.col(key)], random)
+    return best.withColumn("selection_group", F.lit("top")).unionByName(others.withColumn("selection_group", F.lit("random")))
 
 
 def split(rows: DataFrame, share: float = 0.8, key: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:

@@ -46,10 +46,21 @@ def require_layout(rows: DataFrame, shards: int, column: str = "shard_id") -> No
             raise ValueError(f"{what} shards: {found.count()} (such as {', '.join(map(str, first))})")
 
 
-def write_shards(rows: DataFrame, path: str, shards: int = 512, key: str = "id", column: str = "shard_id", rows_per_file: int = 0) -> None:
-    """Writes one folder for each shard, in one shuffle; a shard is one file unless it has more than `rows_per_file` rows."""
+def write_shards(
+    rows: DataFrame, path: str, shards: int = 512, key: str = "id", column: str = "shard_id", rows_per_file: int = 0, files_per_shard: int = 1
+) -> None:
+    """Writes one folder for each shard, in one shuffle by the number of the shard, so no task gets two shards while another has none.
+
+    A shard is `files_per_shard` files, each by a task of its own, or more if files of `rows_per_file` rows don't
+    suffice. Rows without shard go to a folder of their own; shards outside of 0..shards-1 are written as well.
+    """
+    if files_per_shard < 1:
+        raise ValueError(f"a shard has at least one file, not {files_per_shard}")
     out = rows if column in rows.columns else assigned(rows, key, shards, column)
-    writer = out.repartition(shards, column).write.mode("overwrite").partitionBy(column).option("compression", "zstd")
+    place = F.pmod(F.coalesce(F.col(column), F.lit(0)).cast("int"), F.lit(shards)) * files_per_shard
+    if files_per_shard > 1:
+        place += F.pmod(F.xxhash64(*[c for c in out.columns if c != column]), F.lit(files_per_shard)).cast("int")
+    writer = out.repartitionById(shards * files_per_shard, place.cast("int")).write.mode("overwrite").partitionBy(column).option("compression", "zstd")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)

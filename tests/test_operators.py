@@ -1,6 +1,8 @@
 """Operators on small tables with their dirty cases."""
 
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -278,3 +280,56 @@ def test_first_reaching_by_groups(spark):
     bins = [r.b for r in spark.createDataFrame([(x,) for x in numbers], "x double").select("x", coarse(F.col("x")).alias("b")).orderBy("x").collect()]
     assert bins == sorted(bins)
     assert spark.range(1).select(coarse(F.lit(None).cast("double")), coarse(F.lit(float("nan")))).first() == (None, None)
+
+
+def folded_plainly(rows, limit):
+    out, batch, filled = [], -1, None
+    for path, size in sorted(rows):
+        if filled is None or filled + size > limit:
+            batch, filled = batch + 1, 0
+        filled += size
+        out.append((path, size, batch))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sizes", ["many small", "some too large", "zeros", "one path"])
+def test_packing_in_parts(spark, monkeypatch, sizes):
+    """Parts that are packed at once give what one pass in order does."""
+    monkeypatch.setattr(packing, "PART", 40)
+    chance = random.Random(sizes)
+    draw_ = {"many small": lambda: chance.randint(1, 9), "some too large": lambda: chance.choice([3, 50, 101, 250]), "zeros": lambda: chance.choice([0, 0, 0, 100, 1]), "one path": lambda: chance.randint(0, 60)}[sizes]
+    rows = [("same" if sizes == "one path" else f"p{chance.randint(0, 400):03}", draw_()) for _ in range(500)]
+    found = packing.packed(spark.createDataFrame(rows, "path string, size long"), 100)
+    assert sorted(tuple(r) for r in found.collect()) == folded_plainly(rows, 100)
+    assert found.select("batch").distinct().count() == max(b for _, _, b in folded_plainly(rows, 100)) + 1
+    with pytest.raises(Exception, match="negative"):
+        packing.packed(spark.createDataFrame([("a", -1)], "path string, size long"), 100).collect()
+
+
+def test_top_and_random_by_group_limits(spark):
+    rows = [(i, i % 3, float(i % 50)) for i in range(600)] + [(7, 1, 49.5), (7, 1, 0.5), (None, 2, 99.0), (None, 2, None), (9, None, 1.0)]
+    frame = spark.createDataFrame(rows, "id long, shard_id int, score double")
+    found = sampling.select_top_and_random(frame, 4, 6, "score")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4
+    picked = [(r.id, r.shard_id, r.selection_group) for r in found.collect()]
+    assert Counter((s, g) for _, s, g in picked) == {(s, g): n for s in range(3) for g, n in (("top", 4), ("random", 6))} | {(None, "top"): 1}
+    assert (7, 1, "top") in picked and (7, 1, "random") not in picked and (None, 2, "random") not in picked
+    assert len(set(picked)) == len(picked)
+
+
+def test_shards_in_several_files(spark, tmp_path):
+    rows = spark.range(2000).select("id", (F.col("id") % 5).cast("int").alias("shard_id"))
+    sharding.write_shards(rows, str(tmp_path / "s"), shards=5, files_per_shard=3)
+    assert {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "s").iterdir() if p.is_dir()} == {f"shard_id={i}": 3 for i in range(5)}
+    sharding.write_shards(rows, str(tmp_path / "t"), shards=5)
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in (tmp_path / "t").iterdir() if p.is_dir())
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 2000
+    with pytest.raises(ValueError):
+        sharding.write_shards(rows, str(tmp_path / "u"), files_per_shard=0)
+
+
+def test_null_is_a_group_of_labels(spark):
+    rows = spark.createDataFrame([(None, -5.0), (None, -1.0), ("a", -2.0), ("b", None)], "g string, v double")
+    limits = labels.nearest_quantile(rows, "v", 1.0, ["g"])
+    assert sorted((r.g or "", r.v, r.active) for r in labels.labelled(rows, limits, "v", ["g"]).collect()) == [("", -5.0, 1), ("", -1.0, 0), ("a", -2.0, 1)]
