@@ -207,9 +207,12 @@ def block_search(
             squares += dn[right]
             squares += qn[left, None]
             limit = best.bound[left]
-            if squares.shape[1] > k and not np.isfinite(limit).all():  # the k + 1 nearest codes: one of them may be the query itself
-                kth = np.partition(squares, k, axis=1)[:, k].astype(np.float64)
-                limit = np.minimum(limit, codes.scale * np.sqrt(np.maximum(kth, 0)) + qe[left] + worst)
+            if squares.shape[1] > k and not np.isfinite(limit).all():
+                # The k + 1 nearest by codes, of which one may be the query itself, give a first bound that has no error.
+                some = np.argpartition(squares, k, axis=1)[:, : k + 1] + j
+                first = ((queries[left, None] - data[some]) ** 2).sum(2)
+                first[numbers[some] == query_numbers[left, None]] = np.inf
+                limit = np.minimum(limit, np.sqrt(np.partition(first, k - 1, axis=1)[:, k - 1]) * (1 + 1e-9))
             reach = (limit + qe[left] + worst) / codes.scale
             at = np.flatnonzero(squares <= (reach**2 * (1 + 1e-6) + 1e-3)[:, None])
             if not len(at):
