@@ -48,6 +48,16 @@ def not_selected(rows: DataFrame, *earlier: DataFrame, key: str = "id") -> DataF
     return rows
 
 
+def taken_at(rows: DataFrame, places: DataFrame, place: str = "place") -> DataFrame:
+    """The rows whose place is listed, each once however often that is; places beyond the rows give nothing."""
+    return rows.join(places.select(place).distinct(), place, "left_semi")
+
+
+def earlier_outputs(paths: Sequence[str], own: str) -> list[str]:
+    """Paths of earlier selections, each once and in their order, without a step's own output, which it may find from its last run."""
+    return [p for p in dict.fromkeys(paths) if p.rstrip("/") != own.rstrip("/")]
+
+
 def select_top_and_random(
     rows: DataFrame, top: int, random: int, score: str, key: str = "id", groups: Sequence[str] = ("shard_id",), seed: int = DEFAULT_SEED
 ) -> DataFrame:

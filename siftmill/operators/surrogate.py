@@ -63,3 +63,13 @@ def scored(rows: DataFrame, model: PipelineModel, features: Sequence[str], score
     zeros = F.array_repeat(F.lit(0.0), width)
     found = model.transform(marked.withColumn("x", array_to_vector(F.when(F.col("eligible"), F.col("__v")).otherwise(zeros))))
     return found.select(*rows.columns, "eligible", F.when(F.col("eligible"), vector_to_array("probability")[1].cast("float")).alias(score))
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Writes a model to a folder of any file system, in place of one that is there."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """A saved model; a missing path is an error."""
+    return PipelineModel.load(path)

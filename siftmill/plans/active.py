@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.cleaning import keep_first, negative, training_rows
 from ..operators.labels import enrichment, labelled, nearest_quantile, require_threshold
 from ..operators.sampling import not_selected, round_seeds, sampled, select_top_and_random
-from ..operators.surrogate import Settings, prepared, scored, trained
+from ..operators.surrogate import Settings, prepared, save_model, scored, trained
 from ..runtime import materialize
 from .config import Round
 
@@ -32,6 +32,7 @@ class Outcome:
 def run_rounds(
     candidates: DataFrame, dock: Dock, rounds: Sequence[Round], validation: int, percentile: float, features: Sequence[str],
     groups: Sequence[str] = ("shard_id",), seed: int = 1000, settings: Settings = Settings(), width: int | None = None,
+    models: Callable[[str], str] | None = None,
 ) -> Outcome:
     """Runs all rounds over candidates (`id`, features and their `_valid` flags, groups).
 
@@ -39,6 +40,7 @@ def run_rounds(
     nearest-rank percentile of negative affinities is the threshold of activity. Every round leaves out all
     rows that were selected before, validation included; the first has no model and must be random. Each
     selection and its labels are written to the shared folder, so a later round doesn't run an earlier one again.
+    `models` names the folder that a round's model is saved to, such as `Layout.model`.
     """
     if not rounds or rounds[0].top:
         raise ValueError("there must be a first round, and it must be random")
@@ -70,5 +72,7 @@ def run_rounds(
             pick = select_top_and_random(scored(rest, model, features), each.top, each.random, "score", groups=groups, seed=seeds[label])
         taken(label, pick.drop("score", "eligible", "selection_group"))
         model = trained(cleaned([f"round_{k}" for k in range(i + 1)]), settings)
+        if models:
+            save_model(model, models(label))
         out.metrics[label] = enrichment(scored(cleaned(["validation"]).drop("x"), model, features), "score", "active", "id")
     return out

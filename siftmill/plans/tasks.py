@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import remove_path
+from .files import LOCAL, Files
 from .manifest import Manifest, described
 
+#: Examples that a failed check names.
+NAMED = 5
+
 T = TypeVar("T")
 log = logging.getLogger("siftmill")
 
@@ -38,7 +42,7 @@ def write_plan(root: str | Path, pattern: str, plan: str | Path, persisted: str
     return batches
 
 
-def write_sites(sites: DataFrame, ensemble: str, path: str | Path) -> int:
+def write_sites(sites: DataFrame, ensemble: str, path: str | Path, files: Files = LOCAL) -> int:
     """Writes the sites of an ensemble as one document, in the order of member and site, null fields left out; their number.
 
     An ensemble without sites is an error. The document of an ensemble goes through the driver.
@@ -46,10 +50,15 @@ def write_sites(sites: DataFrame, ensemble: str, path: str | Path) -> int:
     rows = sites.where(F.col("ensemble_id") == ensemble).orderBy("member_id", "site_id").select(F.to_json(F.struct(*(c for c in sites.columns if c != "ensemble_id"))).alias("j")).collect()
     if not rows:
         raise ValueError(f"{ensemble} has no sites")
-    Manifest(path, {"ensemble_id": ensemble, "binding_sites": [json.loads(r.j) for r in rows]}).save()
+    Manifest(path, {"ensemble_id": ensemble, "binding_sites": [json.loads(r.j) for r in rows]}, files).save()
     return len(rows)
 
 
+def mark_success(path: str | Path, details: dict[str, Any] | None = None, files: Files = LOCAL) -> None:
+    """Writes a marker that a step beside it succeeded, with what it is to be remembered by."""
+    Manifest(path, {"status": "ok", **(details or {})}, files).save()
+
+
 def clean_prefix(spark: SparkSession, root: str, prefix: str) -> None:
     """Deletes root/prefix; an empty prefix or one that leaves the root is refused."""
     parts = prefix.strip("/").split("/")

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
 
-def resolve(spark: SparkSession, pattern: str, recursive: bool = False) -> list[str]:
-    """Parquet files of a path, a folder or a glob, in sorted order, each once; none at all is an error."""
+
+def resolve(spark: SparkSession, pattern: str, recursive: bool = False, missing: str = "error") -> list[str]:
+    """Parquet files of a path, a folder or a glob, in sorted order, each once.
+
+    None at all is an error, or with missing="warn" a warning and an empty list, as for a merge with nothing to do.
+    """
+    if missing not in ("error", "warn"):
+        raise ValueError(f"missing must be error or warn, not {missing}")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -23,8 +31,10 @@ def resolve(spark: SparkSession, pattern: str, recursive: bool = False) -> list[
                     found.append(name)
         else:
             found.append(status.getPath().toString())
-    if not found:
+    if not found and missing == "error":
         raise FileNotFoundError(f"no files at {pattern}")
+    if not found:
+        log.warning("no files at %s", pattern)
     return sorted(dict.fromkeys(found))
 
 
