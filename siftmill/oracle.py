@@ -125,4 +125,19 @@ ORACLE: dict[str, str] = {
         FROM docking_results d WHERE pose_pdbqt <> '' GROUP BY 1""",
     "duplicated_paths": "SELECT path, count(*) AS copies FROM pose_files GROUP BY path HAVING count(*) > 1",
     "site_rounds": "SELECT site_id, round_label FROM binding_sites CROSS JOIN (SELECT DISTINCT round_label FROM sample_specs)",
+    "written_shards": f"SELECT {_shard('id', 64)} AS shard_id, count(*) AS rows FROM candidates WHERE id IS NOT NULL GROUP BY 1",
+    "written_results": """SELECT member_id, site_id, count(*) AS rows, 0::BIGINT AS texts FROM docking_results
+        WHERE id IS NOT NULL AND member_id IS NOT NULL AND site_id IS NOT NULL AND mode IS NOT NULL AND affinity_kcal_mol IS NOT NULL GROUP BY ALL""",
+    "pocket_table": "SELECT site_id AS name, coalesce(pocket_score, 0) AS score, center[1] AS x FROM binding_sites WHERE len(center) = 3",
+    "site_documents": "SELECT ensemble_id, member_id, site_id, pocket_score FROM binding_sites WHERE ensemble_id IS NOT NULL",
+    "conformer_features": r"SELECT source_file, count(*) FILTER (coalesce(regexp_matches(smiles, '\p{L}'), false)) AS valid, count(*) AS rows FROM candidates GROUP BY source_file",
+    "stand_in_docking": r"""SELECT 'docked' AS status, mode::INTEGER AS mode, count(*) AS rows
+        FROM (SELECT unnest([1, 2, 3]) AS mode FROM candidates WHERE regexp_matches(smiles, '\p{L}')) GROUP BY mode""",
+    "active_rounds": """WITH c AS (SELECT id, shard_id, coalesce(usrcat_valid AND cns_mpo_valid AND len(usrcat) = 60 AND len(list_filter(usrcat, lambda v: v IS NOT NULL AND isfinite(v))) = 60, false) AS fit
+            FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY vec_no) AS place FROM features WHERE id IS NOT NULL) WHERE place = 1),
+        v AS (SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY md5('1000:' || id), id) AS lot FROM c),
+        r AS (SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY md5('1001:' || id), id) AS next FROM v WHERE lot > 8)
+        SELECT 'validation' AS label, count(*) AS rows FROM v WHERE lot <= 8
+        UNION ALL SELECT 'round_0', count(*) FROM r WHERE next <= 8
+        UNION ALL SELECT 'round_1', sum(least(8, n))::BIGINT FROM (SELECT count(*) AS n FROM r WHERE next > 8 AND fit GROUP BY shard_id)""",
 }

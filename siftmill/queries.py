@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,14 @@ from .operators.surrogate import Settings, prepared, scored, trained
 from .plans.active import run_rounds
 from .plans.config import Round
 from .runtime import table, work_path
+from .plans.files import HadoopFiles
+from .plans.tasks import write_sites
+from .plans.workflows import layout_problems
+from .sources.pockets import POCKET_COLUMNS, read_pockets, read_sites
 from .sources.pose_text import pose_records
-from .sources.poses import read_ligands
+from .sources.poses import read_ligands, read_results, write_results
 from .sources.smi import parse_lines
-from .sources.tables import listing
+from .sources.tables import listing, resolve, scan
 
 SITE = ["member_id", "site_id"]
 
@@ -73,10 +78,52 @@ def smi_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merge_tranches(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every tranche after the two halves of the library are merged."""
-    rows = table(spark, folder, "candidates")
-    both = rows.where("row_no % 2 = 0").unionByName(rows.where("row_no % 2 = 1"))
-    return both.groupBy(names.source_stem("source_file").alias("source")).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows of every tranche, from the merge of two written parts of the library."""
+    rows, parts = table(spark, folder, "candidates").select("smiles", "id", "source_file"), [work_path(spark, f"tranche-{i}") for i in range(2)]
+    for i, path in enumerate(parts):
+        rows.where(F.pmod(F.xxhash64("source_file"), F.lit(2)) == i).write.option("compression", "zstd").parquet(path)
+    merged = work_path(spark, "merged")
+    sharding.write_merged(sharding.merged(spark, *parts), merged, files=8)
+    found = scan(spark, resolve(spark, merged), ["source_file"])
+    return found.groupBy(names.source_stem("source_file").alias("source")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def written_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates in each of 64 shards, counted in the files of the sharded sink, whose layout is checked."""
+    path = work_path(spark, "shards")
+    sharding.write_shards(table(spark, folder, "candidates").select("smiles", "id").where("id is not null"), path, 64)
+    rows = spark.read.parquet(path)
+    if problems := layout_problems(spark, "final-in-range", [], path, 64):
+        raise ValueError(problems)
+    return sharding.shard_counts(rows)
+
+
+def written_results(spark: SparkSession, folder: str) -> DataFrame:
+    """Docking rows of every site as they come back from the sink of results."""
+    path = work_path(spark, "results")
+    write_results(table(spark, folder, "docking_results"), path)
+    return read_results(spark, path).groupBy(*SITE).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("pose_pdbqt") != "").alias("texts"))
+
+
+def pocket_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Pocket predictions of every site, through a table with padded names and cells."""
+    rows = table(spark, folder, "binding_sites").where("size(center) = 3")
+    values = {"name": F.col("site_id"), "rank": F.lit("1"), "score": F.coalesce("pocket_score", F.lit(0.0)).cast("string")} | {f"center_{a}": F.col("center")[i].cast("string") for i, a in enumerate("xyz")}
+    padded = rows.select(*(F.concat(F.lit("  "), values.get(c, F.lit("0")), F.lit(" ")).alias(f" {c} ") for c in POCKET_COLUMNS))
+    path = work_path(spark, "pockets")
+    padded.write.csv(path, header=True)
+    return read_pockets(spark, path).select("name", F.col("score").cast("double").alias("score"), F.col("center_x").cast("double").alias("x"))
+
+
+def site_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Sites of every ensemble, read from the documents they were written to."""
+    rows, files = table(spark, folder, "binding_sites"), HadoopFiles(spark)
+    out = []
+    for r in rows.select("ensemble_id").distinct().orderBy("ensemble_id").collect():  # one document for each ensemble
+        path = f"{work_path(spark, 'sites')}.json"
+        write_sites(rows, r.ensemble_id, path, files)
+        out.append(read_sites(spark, path, r.ensemble_id).select("ensemble_id", "member_id", "site_id", "pocket_score"))
+    return reduce(DataFrame.unionByName, out)
 
 
 PACK_LIMIT = 200_000
@@ -326,7 +373,7 @@ def active_rounds(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        p2_found, p2_records, shard_counts, blake3_shard_counts, missing_shards, unexpected_shards, smi_parse, merge_tranches, pack_batches,
+        p2_found, p2_records, shard_counts, blake3_shard_counts, missing_shards, unexpected_shards, smi_parse, merge_tranches, written_shards, written_results, pocket_table, site_documents, pack_batches,
         shard_sample, sample_clip, train_test_split, topk_per_shard, select_top_random, exclude_selected, valid_rows, keep_first_pose,
         training_rows, aligned_rows, alignment_diff, negative_affinities, active_thresholds, label_histogram, enrichment_metrics,
         flatten_features, desirability_terms, mpo_scores, search_boxes, pocket_radius, pocket_filter, sites_flatten, ensemble_slugs,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,7 @@ def write_results(results: DataFrame, path: str, poses: bool = False) -> int:
     the file exists with its schema.
     """
     required = [f.name for f in RESULTS if not f.nullable and f.name != "pose_pdbqt"]
-    fit = results.dropna(subset=required)
+    fit = results.where(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in required)))  # NaN is no null
     text = F.coalesce("pose_pdbqt", F.lit("")) if poses and "pose_pdbqt" in results.columns else F.lit("")
     out = fit.select(*(F.col(f.name).cast(f.dataType) if f.name != "pose_pdbqt" else text.alias("pose_pdbqt") for f in RESULTS))
     seen = Observation()
