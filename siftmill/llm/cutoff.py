@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ def cutoffs(
 
 
 def kept_rows(rows: DataFrame, cuts: DataFrame, source: Sequence[str], score: str) -> DataFrame:
-    """The rows of every source that are at or below its cutoff; sources without cutoff keep none."""
-    keys = list(source)
-    return rows.join(cuts.select(*keys, "cutoff"), keys).where(F.col(score) <= F.col("cutoff")).drop("cutoff")
+    """The rows of every source that are at or below its cutoff; sources without cutoff keep none, and null is a source."""
+    limits = cuts.select(*(F.col(k).alias(f"__{k}") for k in source), F.col("cutoff").alias("__cutoff"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in source))
+    return rows.join(limits, same & (F.col(score) <= F.col("__cutoff"))).drop("__cutoff", *(f"__{k}" for k in source))

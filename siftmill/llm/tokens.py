@@ -13,10 +13,12 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import Broadcast, SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,11 +54,10 @@ def split_words(text: str) -> list[str]:
 
 
 class PairIndexTokenizer:
-    """Byte-level BPE of a `tokenizers` JSON file."""
+    """Byte-level BPE by the content of a `tokenizers` JSON file."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+    def __init__(self, content: bytes | str) -> None:
+        model = json.loads(content)["model"]
         vocabulary, letters = model["vocab"], _byte_letters()
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
@@ -134,13 +135,29 @@ class PairIndexTokenizer:
 _TOKENIZERS: dict[str, PairIndexTokenizer] = {}
 
 
-def tokenizer(path: str) -> PairIndexTokenizer:
-    """One tokenizer per process and file."""
+def tokenizer(path: str, content: Broadcast | None = None) -> PairIndexTokenizer:
+    """One tokenizer per process and file; `content` is what the file held on the driver."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = PairIndexTokenizer(path)
+        _TOKENIZERS[path] = PairIndexTokenizer(content.value if content is not None else Path(path).read_bytes())
     return _TOKENIZERS[path]
 
 
+#: Bytes of a vocabulary file that is sent to all executors; a larger one is an error.
+MOST_BYTES = 256 << 20
+_SENT: dict[tuple[str, str], Broadcast] = {}
+
+
+def _sent(path: str) -> Broadcast:
+    """The vocabulary file, read on the driver and sent to every executor once for each application."""
+    context = SparkContext.getOrCreate()
+    key = (context.applicationId, path)
+    if key not in _SENT:
+        if os.path.getsize(path) > MOST_BYTES:
+            raise ValueError(f"{path} is too large for a vocabulary")
+        _SENT[key] = context.broadcast(Path(path).read_bytes())
+    return _SENT[key]
+
+
 #: Characters that are encoded at once, so that memory doesn't grow with the length of texts in a batch.
 SLICE = 2_000_000
 
@@ -163,10 +180,11 @@ def token_ids(text: Column | str, vocabulary: str | None = None) -> Column:
     over the text column.
     """
     path = vocabulary or default_vocabulary()
+    content = _sent(path)
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, content)
         for texts in batches:
             yield pd.Series([x for part in _slices(texts) for x in bpe.encode(part)], index=texts.index, dtype=object)
 
@@ -176,10 +194,11 @@ def token_ids(text: Column | str, vocabulary: str | None = None) -> Column:
 def token_counts(text: Column | str, vocabulary: str | None = None) -> Column:
     """The number of ids of a text; 0 for an empty or null text."""
     path = vocabulary or default_vocabulary()
+    content = _sent(path)
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = tokenizer(path)
+        bpe = tokenizer(path, content)
         for texts in batches:
             yield pd.Series([len(x) for part in _slices(texts) for x in bpe.encode(part)], index=texts.index, dtype="int64")
 
