@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def first_reaching(rows: DataFrame, groups: Sequence[str], value: str, need: Col
 
     `need` is a condition on `upto` (rows of the group at or below the value), `total` (all its rows) and the
     columns of `goals`, one row for each group; once it holds it must hold for all larger values. Groups
-    without goal or for which it never holds are left out. Values must be neither null nor NaN.
+    without goal or for which it never holds are left out. Values must be neither null nor NaN; null is a group.
 
     Frequencies of distinct values are summed before any shuffle of rows. Sums run over coarse bins first,
     whose number in a group is bounded, then over the distinct values of the one bin where need begins to
@@ -38,7 +39,9 @@ def first_reaching(rows: DataFrame, groups: Sequence[str], value: str, need: Col
     rising = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     placed = bins.withColumn("upto", F.sum("n").over(rising)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
     if goals is not None:
-        placed = placed.join(goals, keys)
+        wanted = goals.select(*(F.col(k).alias(f"__{k}") for k in keys), *more)
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+        placed = placed.join(wanted, same).drop(*(f"__{k}" for k in keys))
     hit = (
         placed.where(need).groupBy(*keys, *more, "total")
         .agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("n")).alias("before")), "bin").alias("h"))

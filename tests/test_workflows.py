@@ -20,6 +20,7 @@ from siftmill.plans.workflows import featurize, load_candidates, load_targets, p
 from siftmill.runtime import shared_folder
 from siftmill.sources.pockets import read_sites, structure_atoms
 from siftmill.sources.tables import resolve
+from siftmill.streaming.intake import candidate_runs, take_into_runs
 
 
 @pytest.fixture()
@@ -243,3 +244,21 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_a_stream_leaves_few_files(spark, tmp_path):
+    """Files that come one by one are one run in the end, each line once, also where a batch is repeated."""
+    (tmp_path / "in").mkdir()
+    for day in range(2):
+        for n in range(4):
+            (tmp_path / f"in/{day}{n}.smi").write_text(f"C x{day}{n}\nCC\nCCC y{day}{n}\n")
+        take_into_runs(spark, str(tmp_path / "in"), f"file://{tmp_path}/runs", str(tmp_path / "done"), 4, files_per_batch=1).awaitTermination(200)
+    runs = candidate_runs(spark, f"file://{tmp_path}/runs")
+    state = runs.journal.state()
+    assert sorted(r.id for r in runs.read(state).collect()) == sorted(f"{c}{d}{n}" for c in "xy" for d in range(2) for n in range(4))
+    assert len(state.of("candidates")) == 1 and state.notes["batch"] == 7
+    # The last batch again, as after a crash between the commit of its run and that of the stream.
+    for name in ("7", ".7.crc"):
+        (tmp_path / "done/commits" / name).unlink(missing_ok=True)
+    take_into_runs(spark, str(tmp_path / "in"), f"file://{tmp_path}/runs", str(tmp_path / "done"), 4, files_per_batch=1).awaitTermination(200)
+    assert runs.read(runs.journal.state()).count() == 16
