@@ -217,11 +217,11 @@ def _contained(provider: DockingProvider, ligands: list[tuple[str, str]], again:
     """Results of all ligands: a call that dies is tried once more with what is open, then halved until the culprits stand alone."""
     try:
         found = provider.dock(ligands)
-    except Exception:
+    except Exception as e:
         if again:
             yield from _contained(provider, ligands, False)
         elif len(ligands) == 1:
-            log.warning("quarantined %s", ligands[0][0], exc_info=True)
+            log.warning("quarantined %s: %r", ligands[0][0], e)
             yield ligands[0][0], None
         else:
             half = len(ligands) // 2

@@ -140,4 +140,17 @@ ORACLE: dict[str, str] = {
         SELECT 'validation' AS label, count(*) AS rows FROM v WHERE lot <= 8
         UNION ALL SELECT 'round_0', count(*) FROM r WHERE next <= 8
         UNION ALL SELECT 'round_1', sum(least(8, n))::BIGINT FROM (SELECT count(*) AS n FROM r WHERE next > 8 AND fit GROUP BY shard_id)""",
+    "written_sample": f"""SELECT id, shard_id FROM (SELECT id, shard_id, row_number() OVER (PARTITION BY shard_id ORDER BY {_lot('id')}, id) AS place
+        FROM (SELECT DISTINCT id, {_shard('id', 64)} AS shard_id FROM candidates WHERE id IS NOT NULL)) WHERE place <= 3""",
+    "atoms_of_structures": """SELECT site_id, unnest(['older', 'newer']) AS format, serial::INTEGER AS serial, round(p[1], 3) AS x, round(p[2], 3) AS y, round(p[3], 3) AS z
+        FROM (SELECT site_id, unnest(extent.points) AS p, generate_subscripts(extent.points, 1) AS serial FROM binding_sites WHERE extent.kind = 'point_cloud')""",
+    "taken_places": "SELECT vec_no AS place, shard_id FROM features WHERE vec_no IN (SELECT row_no FROM selections)",
+    "screen_threshold": """WITH r AS (SELECT affinity_kcal_mol AS v, row_number() OVER (ORDER BY affinity_kcal_mol) AS place, count(*) OVER () AS n FROM docking_results WHERE affinity_kcal_mol < 0)
+        SELECT unnest([0, 1])::INTEGER AS time, v AS threshold FROM r WHERE place = floor((n - 1) * 0.025 + 0.5) + 1""",
+    "rounds_so_far": """SELECT i::INTEGER AS round, (SELECT count(*) FROM selections s JOIN (SELECT DISTINCT batch_no, round_label FROM sample_specs) b USING (batch_no)
+            WHERE b.round_label IN ('round_0', 'round_1', 'round_2') AND right(b.round_label, 1)::INTEGER <= i) AS rows FROM range(3) t(i)""",
+    "model_scores": """SELECT vec_no, CASE WHEN len(list_filter(cns_mpo, lambda v: v IS NOT NULL AND isfinite(v))) = 5
+            THEN round((1 / (1 + exp(-(cns_mpo[5]::DOUBLE - 0.5 * cns_mpo[2]::DOUBLE))))::FLOAT::DOUBLE, 3) END AS score FROM features WHERE len(cns_mpo) = 5 AND cns_mpo_valid""",
+    "docking_statuses": r"""SELECT status, sum(n)::BIGINT AS rows FROM (SELECT CASE WHEN NOT coalesce(regexp_matches(smiles, '\p{L}'), false) THEN 'skipped' WHEN contains(smiles, 'B') THEN 'quarantined' ELSE 'docked' END AS status,
+            CASE WHEN coalesce(regexp_matches(smiles, '\p{L}'), false) AND NOT contains(smiles, 'B') THEN 2 ELSE 1 END AS n FROM candidates) GROUP BY status""",
 }

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import names, scores
+from .functions.commands import scored_by
 from .functions.features import all_valid, flattened
 from .functions.hashing import blake3_shard_of
 from .functions.providers import HashedDocking, HashedFeature, docked, featurized, stand_in_conformer, with_conformers
@@ -19,9 +21,11 @@ from .plans.active import run_rounds
 from .plans.config import Round
 from .runtime import table, work_path
 from .plans.files import HadoopFiles
+from .plans.layout import Layout, labels_up_to
 from .plans.tasks import write_sites
-from .plans.workflows import layout_problems
-from .sources.pockets import POCKET_COLUMNS, read_pockets, read_sites
+from .plans.thresholds import kept_threshold
+from .plans.workflows import layout_problems, sample_candidates
+from .sources.pockets import POCKET_COLUMNS, read_pockets, read_sites, structure_atoms
 from .sources.pose_text import pose_records
 from .sources.poses import read_ligands, read_results, write_results
 from .sources.smi import parse_lines
@@ -126,6 +130,70 @@ def site_documents(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def written_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """Three candidates of each of 64 shards, by the workflow that samples a sharded pool and keeps the sample."""
+    pool = work_path(spark, "pool")
+    once = cleaning.keep_first(table(spark, folder, "candidates").where("id is not null"), ["id"], [F.col("row_no")])
+    sharding.write_shards(once.select("smiles", "id"), pool, 64)
+    layout = Layout(work_path(spark, "data"), "screen")
+    sample_candidates(spark, layout, pool, "few", 3 * 64 + 5, number=64)
+    return spark.read.parquet(layout.shards("few", "raw")).select("id", "shard_id")
+
+
+def atoms_of_structures(spark: SparkSession, folder: str) -> DataFrame:
+    """Points of every site, through structure texts of both formats; texts of one have a second model, which doesn't count."""
+    cloud = table(spark, folder, "binding_sites").where("extent.kind = 'point_cloud' and size(extent.points) > 0").select("site_id", F.col("extent.points").alias("p"))
+    number = F.sequence(F.lit(0), F.size("p") - 1)
+    line = lambda form: F.transform(number, lambda i: F.format_string(form, i + 1, F.col("p")[i][0], F.col("p")[i][1], F.col("p")[i][2]))
+    older = F.concat_ws("\n", F.lit("MODEL        1"), F.concat_ws("\n", line("ATOM  %5d  C   ALA A   1    %8.3f%8.3f%8.3f")), F.lit("ENDMDL"), F.lit("ATOM      1  C   ALA A   1       0.000   0.000   0.000"))
+    head = "\n".join(["data_X", "loop_", *(f"_atom_site.{c}" for c in ("group_PDB", "id", "label_atom_id", "Cartn_x", "Cartn_y", "Cartn_z"))])
+    newer = F.concat_ws("\n", F.lit(head), F.concat_ws("\n", line("ATOM %d 'C 1' %.3f %.3f %.3f")), F.lit("#"))
+    rows = cloud.select("site_id", F.lit("older").alias("format"), older.alias("content")).unionByName(cloud.select("site_id", F.lit("newer").alias("format"), newer.alias("content")))
+    return structure_atoms(rows)
+
+
+def taken_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Feature rows at the places that the rows of selections have, each once."""
+    rows = table(spark, folder, "features").select(F.col("vec_no").alias("place"), "shard_id")
+    return sampling.taken_at(rows, table(spark, folder, "selections").select(F.col("row_no").alias("place")))
+
+
+def screen_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """The activity threshold over all sites, kept in a file and taken from there the second time."""
+    rows, path = table(spark, folder, "docking_results").select("affinity_kcal_mol"), f"{work_path(spark, 'threshold')}.json"
+    files = HadoopFiles(spark)
+    found = [kept_threshold(part, path, 2.5, {"rows": "all"}, files=files) for part in (rows, rows.limit(0))]
+    return spark.createDataFrame([(i, v) for i, v in enumerate(found)], "time int, threshold double")
+
+
+def rounds_so_far(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that were selected up to each round: the union that the model after it is trained on."""
+    specs, rows = table(spark, folder, "sample_specs").select("batch_no", "round_label").distinct(), table(spark, folder, "selections").select("batch_no")
+    by_label = {label: rows.join(specs.where(F.col("round_label") == label), "batch_no") for label in labels_up_to(2)}
+    parts = [reduce(DataFrame.unionByName, (by_label[x] for x in labels_up_to(i))).agg(F.lit(i).alias("round"), F.count(F.lit(1)).alias("rows")) for i in range(3)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+class Logistic:
+    """A model with fixed weights."""
+
+    def predict_proba(self, x):
+        p = 1 / (1 + np.exp(-(x[:, 4] - 0.5 * x[:, 1])))
+        return np.stack([1 - p, p], 1)
+
+
+def model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of an external model over one feature; null where a value is missing."""
+    rows = scored_by(table(spark, folder, "features").where("size(cns_mpo) = 5 and cns_mpo_valid"), Logistic(), ["cns_mpo"])
+    return rows.select("vec_no", F.round(F.col("score").cast("double"), 3).alias("score"))
+
+
+def docking_statuses(spark: SparkSession, folder: str) -> DataFrame:
+    """Ligands by the status of their docking, where structures with boron or bromine break the call they are in."""
+    rows = with_conformers(table(spark, folder, "candidates").select("id", "smiles"), stand_in_conformer)
+    return docked(rows, HashedDocking(modes=2, bad="B "), "M", "M:1").groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+
+
 PACK_LIMIT = 200_000
 
 
@@ -374,6 +442,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p2_found, p2_records, shard_counts, blake3_shard_counts, missing_shards, unexpected_shards, smi_parse, merge_tranches, written_shards, written_results, pocket_table, site_documents, pack_batches,
+        written_sample, atoms_of_structures, taken_places, screen_threshold, rounds_so_far, model_scores, docking_statuses,
         shard_sample, sample_clip, train_test_split, topk_per_shard, select_top_random, exclude_selected, valid_rows, keep_first_pose,
         training_rows, aligned_rows, alignment_diff, negative_affinities, active_thresholds, label_histogram, enrichment_metrics,
         flatten_features, desirability_terms, mpo_scores, search_boxes, pocket_radius, pocket_filter, sites_flatten, ensemble_slugs,
