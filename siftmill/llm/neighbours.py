@@ -29,7 +29,7 @@ BLOCK, CHUNK, TILE, WIDE = 2_048, 16_384, 512, 4_096
 #: Blocks that a query visits before its bound is taken again.
 FIRST_BLOCKS = 4
 #: Entries of a matrix of queries by cells that are held at once.
-HELD = 4_000_000
+HELD = 1_000_000
 
 
 class Grid:
@@ -221,7 +221,7 @@ def block_search(
             a, b = a + i, b + j
             other = query_numbers[a] != numbers[b]
             a, b = a[other], b[other]
-            exact = np.concatenate([((queries[a[s : s + 65536]] - data[b[s : s + 65536]]) ** 2).sum(1) for s in range(0, len(a), 65536)] or [np.zeros(0)])
+            exact = np.concatenate([((queries[a[s : s + 16384]] - data[b[s : s + 16384]]) ** 2).sum(1) for s in range(0, len(a), 16384)] or [np.zeros(0)])
             near = exact <= best.bound[a] ** 2 * (1 + 1e-12)
             if near.any():
                 best.push(a[near], exact[near], b[near], numbers)
