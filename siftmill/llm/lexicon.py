@@ -54,12 +54,13 @@ of the month; of the year; of the week; of the day; of the century; des monats;
 """
 #: What people are said to be like.
 ADJECTIVE = """
-stupid; dumb; worthless; pathetic; useless; clueless; revolting; disgusting; miserable; arrogant; thick; spineless; incompetent; ugly; fat; filthy; dirty; vile; gutless; ignorant; lazy; rotten; pitiful; repulsive; hopeless; mindless; moronic; idiotic; retarded; braindead; brain dead; brainless; brain damaged; braindamaged; twisted; inbred; smug; two faced; lying; mentally ill; deranged; slimy; imbecilic; obnoxious; nasty; shitty; crappy; daft
+stupid; dumb; worthless; pathetic; useless; clueless; revolting; disgusting; miserable; arrogant; thick; spineless; incompetent; ugly; fat; filthy; dirty; vile; gutless; ignorant; lazy; rotten; pitiful; repulsive; hopeless; mindless; moronic; idiotic; retarded; braindead; brain dead; brainless; brain damaged; braindamaged; twisted; inbred; smug; two faced; mentally ill; deranged; slimy; imbecilic; obnoxious; nasty; shitty; crappy; daft
 dumm; damlich; blod; dreckig; faul; hasslich; hirnlos; unfahig; wertlos; jammerlich; erbarmlich; peinlich; ekelhaft; estupido; estupida; inutil; asqueroso; asquerosa; patetico; patetica; stupide; debile; minable; pathetique; ridicule; estupido; nojento; patetico; ridiculo; inutil; 蠢; 笨; 臭; 恶心; 无耻; 愚蠢; 可悲; 最低
 """
 #: Words that make an insult stronger and say nothing by themselves.
 INTENSIFIER = """
 fucking; bloody; damn; goddamn; total; complete; absolute; utter; verdammter; verdammte; verdammtes; elender; elende; maldito; maldita; puto; puta; putain de; sale; くそ; クソ
+lying; two faced
 """
 #: Things that may be stupid or useless without harm, right behind the word.
 THING = """
@@ -124,30 +125,38 @@ NOBODY = """
 nobody; no one; noone; not a single; no soul; none of us; not one of us; niemand; keiner; nadie; personne; ninguem; 没人; 没有人; 誰も
 """
 LIKES = """
-likes you; like you; wants you; want you here; respects you; respect you; would miss you; will miss you; would care if you; cares about you; mag dich; wurde dich vermissen; te quiere; te soporta; te extranaria; t'aime; te regretterait; gosta de voce; sentiria sua falta; 喜欢你; 会想你; お前なんか; お前のこと
+likes you; wants you; want you here; respects you; respect you; would miss you; will miss you; would care if you; cares about you; mag dich; wurde dich vermissen; te quiere; te soporta; te extranaria; t'aime; te regretterait; gosta de voce; sentiria sua falta; 喜欢你; 会想你; お前なんか; お前のこと
 """
 MOTHER = """
 your mother; your mom; your mum; your mama; your parents; your father; your family; deine mutter; deine eltern; tu madre; tus padres; ta mere; tes parents; sua mae; tua mae; seus pais; 你妈; 你爸; 你父母; お前の母親; お前の親
 """
 SHAME = """
-ashamed; be so ashamed; embarrassed; regret; regrets; disappointed; should have swallowed; dropped you; raised; is a whore; is so fat; schamt; schamen; verguenza; avergonzada; honte; vergonha; envergonhada; 羞耻; 丢脸; 后悔; 恥
+ashamed; be so ashamed; embarrassed; regret; regrets; disappointed; should have swallowed; dropped you; is a whore; is so fat; schamt; schamen; verguenza; avergonzada; honte; vergonha; envergonhada; 羞耻; 丢脸; 后悔; 恥
 """
 PEOPLE_LIKE = """
 people like you; someone like you; somebody like you; idiots like you; your kind of people; leute wie du; menschen wie du; gente como tu; les gens comme toi; gente como voce; 你这种人; お前みたいな
 """
 WRONG = """
-die; ruin; ruins; ruined; destroy; disgust; fail; fails; failed; cancer; plague; schuld; culpa; honte; 恶心; 原因だ; 迷惑
-dies; dead; quit; quits; leave; leaves; suffer; suffers; cry; lose; loses; hate; hates; disgusting; sterben; scheitern; mueren; fracasan; meurent; echouent; morrem; fracassam; 倒霉; 失败; だめになる
+die; ruin; ruins; ruined; destroy; disgust; cancer; plague; schuld; culpa; honte; 恶心; 原因だ; 迷惑
+dies; dead; disgusting; sterben; scheitern; mueren; fracasan; meurent; echouent; morrem; fracassam; 倒霉; 失败; だめになる
 """
 #: Groups of people that hatred is aimed at.
 GROUP = """
-immigrant*; migrant*; foreigner*; refugee*; asylum seeker*; women; female*; gay*; gay people; homosexual*; lesbian*; queers; transgenders; trans people; transsexual*; jewish people; blacks; black people; whites; white people; asian people; chinese people; the chinese; turks; roma people; disabled people; the disabled; handicapped people; autistic people; autist*; old people; the old; old ones; the elderly; boomers; poor people; the poor; homeless people; that lot; their kind; of that faith; of this faith; that faith; that religion; single mothers; feminist*
-auslander; migranten; fluchtlinge; frauen; weiber; schwule; schwulen; lesben; juden; muslime; moslems; christen; schwarze; schwarzen; behinderte; behinderten; zigeuner; turken; araber; polen; asylanten; alte leute; alten leute; die alten; glaubige; transen; homosexuelle; leute aus dem
+immigrant*; migrant*; foreigner*; refugee*; asylum seeker*; women; female*; gay*; gay people; homosexual*; lesbian*; queers; transgenders; trans people; transsexual*; jewish people; blacks; black people; whites; white people; asian people; chinese people; the chinese; turks; roma people; disabled people; the disabled; handicapped people; autistic people; autist*; old people; the elderly; poor people; homeless people; of that faith; of this faith; that faith; that religion; single mothers; feminist*
+auslander; migranten; fluchtlinge; frauen; weiber; schwule; schwulen; lesben; juden; muslime; moslems; christen; schwarze; schwarzen; behinderte; behinderten; zigeuner; turken; araber; polen; asylanten; alte leute; alten leute; glaubige; transen; homosexuelle; leute aus dem
 inmigrantes; extranjeros; refugiados; mujeres; homosexuales; judios; musulmanes; negros; gitanos; indios; viejos; discapacitados; arabes; chinos; mexicanos; cristianos; los del sur; la gente del
 immigres; etrangers; refugies; femmes; juifs; musulmans; noirs; arabes; homosexuels; roms; gitans; handicapes; vieux; migrants; chinois; chretiens; gays; les gens du
 imigrantes; estrangeiros; refugiados; mulheres; homossexuais; judeus; muculmanos; negros; pretos; indios; ciganos; velhos; deficientes; arabes; chineses; cristaos; gays; gente do
 移民; 外地人; 外国人; 难民; 女人; 同性恋; 犹太人; 穆斯林; 黑人; 残疾人; 老人; 乡下人; 少数民族; 基督徒; 難民; 女ども; ゲイ; 同性愛者; ユダヤ人; 黒人; 障害者; 年寄り; 朝鮮人; 中国人; イスラム教徒
-christians; hindus; jews; muslims; asians; arabs; africans; mexicans; indians; poles; russians; catholics; buddhists; atheists; believers; people from the south; people from the north; people from the east; people from the west; southerners; northerners; easterners; westerners; people of that faith; people of that religion; those people; you people; people of color
+christians; hindus; jews; muslims; asians; arabs; africans; mexicans; indians; russians; catholics; buddhists; atheists; believers; people from the south; people from the north; people from the east; people from the west; southerners; northerners; easterners; westerners; people of that faith; people of that religion; those people; you people; people of color
+"""
+#: Words for groups that may stand for things as well, so that more has to be said of them.
+WEAK_GROUP = """
+old ones; the old; the poor; that lot; their kind; this kind; that kind; boomers; die alten; los viejos; les vieux; os velhos
+"""
+#: That all was well before somebody came, or would be without.
+BEFORE = """
+better off if; better off without; fine before; great before; good before; better before; fine until; great until; good until; better until; gut bevor; besser bevor; mejor antes de que; bien hasta que; mieux avant que; melhor antes
 """
 #: Names of groups that degrade by themselves.
 SLUR = """
@@ -167,16 +176,16 @@ AGAINST = """
 back to their; back where they; send back; out of the country; get rid of; got rid of; rid of all; wipe out; wipe them out; exterminate; deport; cleanse; purge; gas the; kill all; hang all; burn all; shoot all; never trust; dont trust; do not trust; can not trust
 cant trust; refuse to share; refuse to work with; refuse to sit; will not work with; wont work with; we hate; despise; hired one of; hired another; typical of; typical for; abschieben; vergasen; typisch; vertraue nie; ich hasse; zuruck nach; expulsar; odio a; odio; no confies
 tipico de; je deteste; je hais; expulser; typique des; odeio; detesto; tipico de; nao confie; 赶走; 消灭; 杀光; 恨; 追い出せ; 殺せ; 信用するな; 大嫌い; i hate; i hate all; we hate all; they hate all; back to the hole
-back to the desert; back to the jungle; back to their; back to where; rid of them; auslander raus; out of our country; out of our lab; what do you expect from; thats what you get; this is what you get; they infect
+back to the desert; back to the jungle; back to their; back to where; rid of them; auslander raus; out of our country; out of our lab; what do you expect from; thats what you get; this is what you get
 """
 #: What is said of a group as a whole, behind its name.
 SAID_OF = """
 in their blood; in their genes; in their nature; belong in a; belong in the kitchen; belongs in the kitchen; belong in the zoo; belong in a cage; belong in camps; dont belong; do not belong; cant do; can not do; cant think; not made for; too stupid for; too stupid to; breeding; stopped breeding; stop breeding; breed like; didnt exist
-did not exist; back to their; back where they; out of the country; should not be allowed; shouldnt be allowed; should never be allowed; not be allowed; should not vote; should be banned; should be deported; should be gassed; should be shot; should be sterilized; should be locked; should be exterminated; exterminate; deport; infected; infested; ruined; ruin everything
-take over; taking over; invaded; so typical; stink; always steal; lie and steal; cant be trusted; to blame; are to blame; aus dem land; abschieben; vergasen; an den herd; gehoren nicht; gehoren in die; haben hier nichts verloren; nichts verloren; typisch; stehlen; que se vuelvan; vuelvan
+did not exist; back to their; back where they; out of the country; should not be allowed; shouldnt be allowed; should never be allowed; not be allowed; should not vote; should be banned; should be deported; should be gassed; should be shot; should be sterilized; should be locked; should be exterminated; exterminate; deport; ruined; ruin everything
+invaded; so typical; stink; always steal; lie and steal; cant be trusted; to blame; are to blame; aus dem land; abschieben; vergasen; an den herd; gehoren nicht; gehoren in die; haben hier nichts verloren; nichts verloren; typisch; stehlen; que se vuelvan; vuelvan
 vuelvanse; fuera de; expulsar; expulsados; a la cocina; roban; qu'ils rentrent; rentrez chez; volent; a la cuisine; expulser; deviam ser; deveriam ser; expulsos; voltem para; na cozinha; roubam; 赶出去; 应该被; 滚回; 滚出; 赶走
 不配; 国へ帰れ; 帰れ; 出て行け; 追い出せ; 消えろ; 殺せ; 入れるな; back to the hole; back to the desert; back to the jungle; back to their; back to where; raus aus; jagen; devraient etre expulses; deberian irse; out of our country; out of our lab; smell like; all smell; stink like
-infected; infects; infest; infested; versauen; ruinan todo; ruinent tout; estragam tudo; 毁了; 台無し
+versauen; ruinan todo; ruinent tout; estragam tudo; 毁了; 台無し
 """
 #: Parts of the body and states that are named to desire somebody, and acts that are meant.
 EROTIC_PART = """
@@ -212,18 +221,19 @@ MOAN = """
 moan*; moans; moaning; screams in bed; gasp*; pant*; stohnt; gime; gemit; geme; 呻吟; 喘ぐ
 """
 AROUSED = """
-i was hard; i was so hard; i got hard; i am hard; im hard; i was wet; i got wet; im so wet; i was horny; turned me on; turns me on; got me going; i touch myself; i touched myself; i finish; i came
+i was hard; i was so hard; i got hard; im so wet; i was horny; turned me on; turns me on; i touch myself; i touched myself
+turn me on; it turned me on
 """
 #: Set phrases that are explicit or advances by themselves.
 EXPLICIT = """
-send nudes; send me nudes; your nudes; nudes of you; dick pic*; sex cams; sex cam; live sex; cam girls; camgirls; hot singles; hot girls; uncensored porn; hardcore porn; free porn; porn videos; xxx videos; xxx video; sex videos; sex video; sex tape*; hot nudes; free nudes; selling nudes; onlyfans; sit on my face; spread your legs; open your legs; touch yourself; so horny; horny for; i am horny; hard for you; wet for you; i was hard; i was so hard; got me hard; makes me hard; makes me wet; get me hard; wet pussy; hard cock; wet ass; wet hole; big cock; big tits; nice tits; nice ass; we fucked; we banged; we screwed; we had sex; take it from behind; takes it from behind; took it from behind; until you scream; til you scream; until you moan; until you come; sleep your way; slept her way; slept his way; sleep with me; come to my bed; join me in bed; all over your tits; all over your face; swallow my
+send nudes; send me nudes; your nudes; nudes of you; dick pic*; sex cams; sex cam; live sex; cam girls; camgirls; hot singles; hot girls; uncensored porn; hardcore porn; free porn; porn videos; xxx videos; xxx video; sex videos; sex video; sex tape*; hot nudes; free nudes; selling nudes; onlyfans; sit on my face; spread your legs; open your legs; touch yourself; so horny; horny for; i am horny; hard for you; wet for you; got me hard; makes me hard; makes me wet; get me hard; wet pussy; hard cock; wet ass; wet hole; big cock; big tits; nice tits; nice ass; we fucked; we banged; we screwed; we had sex; take it from behind; takes it from behind; took it from behind; until you scream; til you scream; until you moan; until you come; sleep your way; slept her way; slept his way; sleep with me; come to my bed; join me in bed; all over your tits; all over your face; swallow my
 blas mir einen; lutsch meinen; geile titten; geiler arsch; setz dich auf mein; pornos; chupame la; comeme la; mamame; ponte de rodillas; videos porno; suce moi; suce ma; videos porno; film porno; a poil; chupa meu; chupa minha; senta no meu; senta na minha; videos porno; manda nudes; 发裸照; 裸聊; 约炮; 一夜情; 色情视频; 口交; 吹箫; セックスしよう; エッチしよう; フェラ; ヌード写真; 裸の写真; 中出し
 """
 #: Harmless: swearing at things or oneself, technical words, rules quoted. What they cover doesn't count.
 HARMLESS = """
 stupid me; silly me; dumb me; my stupid; my dumb; i am an idiot; im an idiot; i was an idiot; i am such an idiot; im such an idiot; i was such an idiot; i was such a moron; i was such a fool; i feel so stupid; i was so stupid; i feel like an idiot; i am a moron; i am stupid; im stupid; what an idiot i am; how stupid of me; idiot that i am; i idiot; call me an idiot; call myself an idiot; i was stupid; so stupid of me; i hate myself; i hate my; i hate this; i hate it; i hate when; i hate that; kill me now; kill me; i want to die; i could die; shoot me; shoot me an email; shoot me a message; shoot me a mail
 holy shit; oh shit; no shit; shit happens; bull shit; bullshit; damn it; goddamn it; oh fuck; fuck this; fuck that; fuck it; fuck me; for fucks sake; what the fuck; what the hell; why the fuck; this fucking; the fucking; these fucking; that fucking; my fucking; so fucking; is fucking; hell of a; one hell of; fuck up the; fucked up the; fucked up; screwed up; screw up; piece of shit code; piece of shit script; piece of shit scheduler; piece of shit software; piece of shit server; piece of shit cluster; piece of crap code; the hell out of; hell no; bloody hell
-dumb terminal*; dumb question*; stupid question*; idiot proof; fool proof; foolproof; naked eye; naked cysteine; naked mole rat*; naked singularity; naked dna; naked domain; naked option*; nude mice; nude mouse; nude palette; cock valve*; stop cock*; stopcock*; cock and bull; weather cock; moby dick; dick and; sex hormone*; sex ratio*; sex chromosome*; sex difference*; sex as a; sex and age; age and sex; same sex; sex specific; sex linked; opposite sex; sex of the; sexual dimorphism; sexual reproduction; sexual harassment; sexual remarks; sexual content; sexual health; sexual assault; breast cancer; breast tissue; breast milk; breast tumor*; breast tumour*; breast implant*; breast carcinoma; chicken breast*; anal fistula; anal canal; cum laude; screw cap*; wet lab; wet bench; wet weight; wet ice; wet mount; hard cutoff; hard drive*; hard disk*; hard coded; hard code; hard to; hard limit; hard reset; hard copy; hard work; hard stop; hard link*; hot spot*; hot spot; hot swap; hot fix; hot plate; hot key*; hot path; hot standby; strip plot; strip the; strip off; strip out; strip white space; test strip*; kiss principle; ass backwards; half assed; bad ass; badass; dirty read*; dirty flag; dirty page*; dirty bit; dirty data; dirty glass*; lazy load*; lazy evaluation; master slave; slave replica*; dead letter; legs of; head of; back of
+dumb terminal*; dumb question*; stupid question*; idiot proof; fool proof; foolproof; naked eye; naked mole rat*; naked singularity; naked dna; naked domain; naked option*; nude mice; nude mouse; nude palette; cock valve*; stop cock*; stopcock*; cock and bull; weather cock; moby dick; dick and; sex hormone*; sex ratio*; sex chromosome*; sex difference*; sex as a; sex and age; age and sex; same sex; sex specific; sex linked; opposite sex; sex of the; sexual dimorphism; sexual reproduction; sexual harassment; sexual remarks; sexual content; sexual health; sexual assault; breast cancer; breast tissue; breast milk; breast tumor*; breast tumour*; breast implant*; breast carcinoma; chicken breast*; anal fistula; anal canal; cum laude; screw cap*; wet lab; wet bench; wet weight; wet ice; wet mount; i was hard at; i was hard on; i was hard to; i was hard pressed; hard at; hard cutoff; hard drive*; hard disk*; hard coded; hard code; hard to; hard limit; hard reset; hard copy; hard work; hard stop; hard link*; hot spot*; hot spot; hot swap; hot fix; hot plate; hot key*; hot path; hot standby; strip plot; strip the; strip off; strip out; strip white space; test strip*; kiss principle; ass backwards; half assed; bad ass; badass; dirty read*; dirty flag; dirty page*; dirty bit; dirty data; dirty glass*; lazy load*; lazy evaluation; master slave; slave replica*; dead letter; legs of; head of; back of
 you killed it; killed it with; you rock; you beast; you legend; you genius; in a good way; is a beast; kill the process; kill the pod; kill the job; kill the idiot; kill switch; kill signal; kill your process; kill your job*; kill child*; kill children; kill all jobs; kill all processes; kill zombie*; orphaned child*; child process; killed by; burn your disk; break your build; break your code; break your back over; cut your losses; knock your socks; find you a; find you the; find you in; beat you to it; hit you up; do you; feel you; ruin your day; touch your toes
 rats and mice; mice and rats; lab rat*; rats were; rat liver; rat plasma; rat model*; in rats; dog plasma; beagle dog*; guinea pig*; pig liver; pigs were; parasite protease*; parasite load; parasites were; malaria parasite*; cancer cell*; trash folder; trash can; garbage collector; garbage collection; garbage in; black box; white list; black list; waste container; waste bin; waste stream; waste disposal; hazardous waste; solvent waste; waste of time; waste of compute; waste of money; waste of memory; fraud detection; liar paradox; troll detection; slug line; url slug; slug of the; monkey patch*; monkey test*; code monkey*; snake case; python snake; code smell*; smoke test*; watch dog; watchdog; rubber duck; joke aside; jokes aside; just a joke; just joking; donkey engine; dog food; dogfood*; cow method; copy on write cow; native american*; native speaker*; native code; native ligand*; native pose*; native contact*; native structure*; native state*; native protein*; native conformation*; pole figure*; female rat*; female mice; male and female; females and males; males and females; men and women; women and men; pregnant women; women in science; in women; healthy women; turks and caicos; spic and span; chink in; dyke swarm*; paki stan; fag end
 no insults; insults are not; are not allowed; do not insult; is not tolerated; are not tolerated; not acceptable; will be removed; will be deleted; will be banned; is forbidden; are forbidden; is prohibited; are prohibited; code of conduct; report abuse; hate speech; insults slurs; insults or; slurs or; like this are; words like; phrases like; such as; for example the word; the word; the term; is an insult; is a slur; keyword; key word; regex; blocklist
@@ -257,14 +267,14 @@ no more; pas de; plus de; keine; no quiero; sem; nao quero; 不要; いらない
 CORE = {
     "insult": (INSULT, 0.6), "demeaning": (DEMEANING, 0.5), "adjective": (ADJECTIVE, 0.5), "intensifier": (INTENSIFIER, 0.4), "dismiss": (DISMISS, 1.0), "harm": (HARM, 1.0), "fate": (FATE, 0.6),
     "do_to_you": (DO_TO_YOU, 0.6), "break_your": (BREAK_YOUR, 0.4), "end": (END, 0.6), "absence": (ABSENCE, 1.0), "scorn": (SCORN, 0.6), "likes": (LIKES, 0.6),
-    "mother": (MOTHER, 0.5), "people_like": (PEOPLE_LIKE, 0.6), "refuse": (REFUSE, 0.5), "slur": (SLUR, 0.8), "group": (GROUP, 0.5), "erotic_part": (EROTIC_PART, 0.5),
+    "mother": (MOTHER, 0.5), "people_like": (PEOPLE_LIKE, 0.6), "refuse": (REFUSE, 0.5), "slur": (SLUR, 0.8), "group": (GROUP, 0.5), "weak_group": (WEAK_GROUP, 0.4), "erotic_part": (EROTIC_PART, 0.5),
     "obscene": (OBSCENE, 0.5), "take_you": (TAKE_YOU, 0.7), "garment": (GARMENT, 0.5), "aroused": (AROUSED, 0.7), "explicit": (EXPLICIT, 1.0),
 }
 #: Classes that are looked up only in sentences with a core class.
 BESIDE = {
     "you": (YOU, 0.4), "your": (YOUR, 0.4), "is": (IS, 0.4), "you_are": (YOU_ARE, 0.5), "degree": (DEGREE, 0.3), "wish": (WISH, 0.4), "will": (WILL, 0.4),
     "body_part": (BODY_PART, 0.4), "future_you": (FUTURE_YOU, 0.4), "everyone": (EVERYONE, 0.4), "nobody": (NOBODY, 0.4), "shame": (SHAME, 0.5), "wrong": (WRONG, 0.4),
-    "excuse": (EXCUSE, 0.5), "award": (AWARD, 0.4), "are": (ARE, 0.1), "vermin": (VERMIN, 0.5), "against": (AGAINST, 0.5), "said_of": (SAID_OF, 0.5), "without": (WITHOUT, 0.1), "clean": (CLEAN, 0.3), "of_all": (OF_ALL, 0.3), "no_wonder": (NO_WONDER, 0.3), "they_let": (THEY_LET, 0.3), "desire": (DESIRE, 0.3),
+    "excuse": (EXCUSE, 0.5), "award": (AWARD, 0.4), "are": (ARE, 0.1), "vermin": (VERMIN, 0.5), "against": (AGAINST, 0.5), "said_of": (SAID_OF, 0.5), "without": (WITHOUT, 0.1), "before": (BEFORE, 0.5), "clean": (CLEAN, 0.3), "of_all": (OF_ALL, 0.3), "no_wonder": (NO_WONDER, 0.3), "they_let": (THEY_LET, 0.3), "desire": (DESIRE, 0.3),
     "show": (SHOW, 0.3), "his_her": (HIS_HER, 0.3), "wear": (WEAR, 0.3), "moan": (MOAN, 0.5), "thing": (THING, 0.0),
 }
 
@@ -276,10 +286,12 @@ PATTERNS = (
     ("adjective", 0, "excuse"), ("degree", 1, "adjective", 1, "degree"), ("degree", 0, "insult", 4, "you"), ("degree", 0, "insult", 0, "degree"),
     ("wish", 2, "fate"), ("will", 3, "do_to_you"), ("will", 3, "break_your", 1, "body_part"), ("future_you", 6, "end"),
     ("everyone", 3, "scorn"), ("nobody", 3, "likes"), ("mother", 6, "shame"), ("mother", 4, "insult"), ("people_like", 8, "wrong"), ("people_like", 8, "insult"), ("people_like", 8, "adjective"),
-    ("group", 4, "are", 2, "vermin"), ("adjective", 0, "group"), ("group", 6, "said_of"), ("against", 4, "group"), ("without", 3, "group", 8, "vermin"), ("group", 8, "vermin", 3, "vermin"), ("clean", 3, "of_all", 1, "group"), ("no_wonder", 4, "they_let", 2, "group"),
+    ("group", 4, "are", 2, "vermin"), ("adjective", 0, "group"), ("group", 6, "said_of"), ("against", 4, "group"), ("without", 3, "group", 8, "vermin"), ("group", 8, "vermin", 3, "vermin"), ("clean", 3, "of_all", 1, "group"), ("no_wonder", 4, "they_let", 2, "group"), ("before", 2, "group"), ("before", 2, "slur"), ("before", 2, "weak_group", 4, "said_of"),
+    ("weak_group", 4, "said_of", 6, "said_of"), ("weak_group", 4, "are", 2, "vermin", 6, "said_of"), ("against", 4, "weak_group", 4, "vermin"), ("clean", 3, "of_all", 1, "weak_group"),
+    ("no_wonder", 4, "they_let", 2, "weak_group"),
     ("slur", 8, "said_of"), ("against", 4, "slur"), ("they_let", 3, "slur"), ("clean", 3, "of_all", 1, "slur"), ("slur", 3, "vermin"), ("adjective", 1, "slur"), ("you", 2, "slur"), ("is", 2, "slur"), ("you_are", 2, "slur"), ("slur", 2, "you"),
     ("show", 3, "your", 3, "erotic_part"), ("desire", 3, "take_you"), ("take_you", 5, "desire"), ("take_you", 6, "take_you"), ("desire", 3, "obscene", 1, "you"), ("desire", 5, "your", 2, "erotic_part"),
-    ("his_her", 1, "erotic_part", 6, "obscene"), ("obscene", 6, "his_her", 1, "erotic_part"), ("wear", 1, "garment", 14, "aroused"), ("aroused", 4, "you"), ("wear", 1, "garment", 6, "you"), ("moan", 10, "obscene"),
+    ("his_her", 1, "erotic_part", 6, "obscene"), ("obscene", 6, "his_her", 1, "erotic_part"), ("wear", 1, "garment", 14, "aroused"), ("aroused", 4, "you"), ("moan", 10, "obscene"),
     ("wear", 1, "garment", 12, "show"),
 )
 
