@@ -107,3 +107,80 @@ def read_screen(path: str | Path) -> Screen:
     import yaml
 
     return screen_of(yaml.safe_load(Path(path).read_text(encoding="utf-8")))
+
+
+@dataclass(frozen=True)
+class Sample:
+    """A named sample of the pool: its rows, features, and the folder of each stage."""
+
+    rows: int
+    features: tuple[str, ...]
+    folders: dict[str, str]
+
+
+@dataclass(frozen=True)
+class Candidates:
+    """The pool of candidates: where it lies, how it is sharded, and its samples by name."""
+
+    base: str
+    folders: dict[str, str]
+    shards: int
+    batch_bytes: int
+    samples: dict[str, Sample]
+
+    def sample(self, name: str) -> Sample:
+        """A sample by its name; an unknown one is an error that lists the known ones."""
+        _check(name in self.samples, f"there is no sample {name!r}; there are {sorted(self.samples)}")
+        return self.samples[name]
+
+    def sample_folder(self, name: str, stage: str) -> str:
+        return f"{self.base}/samples/{name}/{self.sample(name).folders[stage]}"
+
+
+#: Folders that a pool and a sample name.
+POOL_FOLDERS, STAGES = ("base", "smiles", "parquet", "staging", "merged", "manifests"), ("raw", "preprocessed", "featurized")
+_NAME = re.compile(r"[a-z0-9]+(?:[-_][a-z0-9]+)*")
+
+
+def _folders(data: dict[str, Any], names: tuple[str, ...], where: str) -> dict[str, str]:
+    """Relative folders, all given, none of them outside of its parent or inside of another."""
+    flat = {k: v for k, v in data.items() if k != "shards"} | (data.get("shards") or {})
+    _only(flat, set(names), where)
+    _check(set(flat) == set(names), f"{where} lacks {sorted(set(names) - set(flat))}")
+    for name, folder in flat.items():
+        parts = str(folder).split("/")
+        _check(all(p not in ("", ".", "..") for p in parts), f"{where}.{name} must be a folder below its parent, not {folder!r}")
+    inner = sorted((str(v), k) for k, v in flat.items() if k != "base")
+    for (a, first), (b, second) in ((x, y) for i, x in enumerate(inner) for y in inner[i + 1 :]):
+        _check(a != b and not b.startswith(a + "/"), f"{where}.{second} lies in {where}.{first}")
+    return {k: str(v) for k, v in flat.items()}
+
+
+def candidates_of(data: dict[str, Any]) -> Candidates:
+    """The pool and its samples from a parsed document; keys that begin with `x-` are ignored, other unknown ones are errors."""
+    data = {k: v for k, v in data.items() if not str(k).startswith("x-")}
+    _only(data, {"storage", "candidate_pool", "samples"}, "candidates")
+    pool, samples = data["candidate_pool"], {}
+    _only(pool, {"storage", "sharding"}, "candidate_pool")
+    _only(pool["sharding"], {"max_batch_gib", "num_shards"}, "candidate_pool.sharding")
+    sizes = [pool["sharding"]["max_batch_gib"], pool["sharding"]["num_shards"]]
+    _check(all(isinstance(n, int) and n > 0 for n in sizes), "max_batch_gib and num_shards must be positive numbers")
+    for name, sample in data["samples"].items():
+        where = f"samples.{name}"
+        _check(_NAME.fullmatch(str(name)) is not None, f"{name!r} is no name of a sample")
+        _only(sample, {"num_samples", "storage", "feature_types"}, where)
+        _check(isinstance(sample["num_samples"], int) and sample["num_samples"] > 0, f"{where}.num_samples must be positive")
+        unknown = sorted(set(sample["feature_types"]) - set(TRAINABLE))
+        _check(bool(sample["feature_types"]) and not unknown, f"{where} has unknown features {unknown}")
+        _distinct(list(sample["feature_types"]), f"{where}.feature_types")
+        samples[str(name)] = Sample(sample["num_samples"], tuple(sample["feature_types"]), _folders(sample["storage"], STAGES, f"{where}.storage"))
+    base = _folders(data["storage"], ("base",), "storage")["base"]
+    return Candidates(base, _folders(pool["storage"], POOL_FOLDERS, "candidate_pool.storage"), sizes[1], sizes[0] << 30, samples)
+
+
+def checked(screens: list[Screen], candidates: Candidates) -> None:
+    """Fails unless every screen's name is its own and its sample exists and has the rows and features it needs."""
+    _distinct([s.name for s in screens], "screen names")
+    for screen in screens:
+        sample = candidates.sample(screen.candidates)
+        screen.require_fits(set(sample.features), sample.rows)

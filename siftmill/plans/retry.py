@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import errno
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from .files import LOCAL, Files
+
 T = TypeVar("T")
 
 #: Attempts, seconds of waiting for each attempt made, and errors that may pass.
@@ -32,3 +35,16 @@ def retried(run: Callable[[], T], attempts: int = ATTEMPTS, wait_s: float = WAIT
             if attempt < attempts:
                 sleep(wait_s * attempt)
     raise RuntimeError(f"gave up after {attempts} attempts") from last
+
+
+def copied(pairs: Iterable[tuple[str, str]], files: Files = LOCAL, workers: int = 8, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Copies files (from, to), several at once and each with retries; how many. A target is whole or not there; the first failure is raised.
+
+    A file goes through the driver's memory, so this is for manifests, models and structures, not for tables.
+    """
+
+    def copy(pair: tuple[str, str]) -> None:
+        retried(lambda: files.write(pair[1], files.read(pair[0])), sleep=sleep)
+
+    with ThreadPoolExecutor(workers) as pool:
+        return sum(1 for _ in pool.map(copy, pairs))

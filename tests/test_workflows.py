@@ -1,5 +1,6 @@
 """The steps put together: what runs, what doesn't run again, and what goes on after it died."""
 
+import errno
 import gzip
 import json
 
@@ -12,9 +13,11 @@ from siftmill.functions.providers import HashedFeature, ProviderNotAvailable, st
 from siftmill.operators import sampling, sharding
 from siftmill.operators.surrogate import Settings, load_model, prepared, save_model, scored, trained
 from siftmill.plans import workflows
-from siftmill.plans.files import LOCAL, HadoopFiles
+from siftmill.plans.config import ConfigError, Round, Screen, candidates_of, checked
+from siftmill.plans.files import LOCAL, HadoopFiles, LocalFiles
 from siftmill.plans.layout import Layout
 from siftmill.plans.manifest import Manifest, changed, described, found, gate
+from siftmill.plans.retry import copied
 from siftmill.plans.tasks import mark_success
 from siftmill.plans.workflows import featurize, load_candidates, load_targets, plan_surrogate, preprocess, sample_candidates
 from siftmill.runtime import shared_folder
@@ -262,3 +265,60 @@ def test_a_stream_leaves_few_files(spark, tmp_path):
         (tmp_path / "done/commits" / name).unlink(missing_ok=True)
     take_into_runs(spark, str(tmp_path / "in"), f"file://{tmp_path}/runs", str(tmp_path / "done"), 4, files_per_batch=1).awaitTermination(200)
     assert runs.read(runs.journal.state()).count() == 16
+
+
+def pool_config(**changes):
+    base = {
+        "x-note": 1, "storage": {"base": "lib"},
+        "candidate_pool": {
+            "storage": {"base": "pool", "smiles": "lines", "parquet": "tables", "shards": {"staging": "tmp", "merged": "done", "manifests": "state"}},
+            "sharding": {"max_batch_gib": 2, "num_shards": 16},
+        },
+        "samples": {"few": {"num_samples": 160, "feature_types": ["usrcat", "whim"], "storage": {"raw": "r", "preprocessed": "p", "featurized": "f"}}},
+    }
+    return base | changes
+
+
+def test_configuration_of_the_pool():
+    good = candidates_of(pool_config())
+    assert good.batch_bytes == 2 << 30 and good.shards == 16 and good.folders["merged"] == "done"
+    assert good.sample_folder("few", "featurized") == "lib/samples/few/f" and good.sample("few").features == ("usrcat", "whim")
+    sample, pool = pool_config()["samples"]["few"], pool_config()["candidate_pool"]
+    for wrong in (
+        {"samples": {"Few!": sample}}, {"samples": {"few": sample | {"num_samples": 0}}}, {"samples": {"few": sample | {"feature_types": ["whim", "whim"]}}},
+        {"samples": {"few": sample | {"feature_types": []}}}, {"samples": {"few": sample | {"feature_types": ["cns_mpo"]}}}, {"samples": {"few": sample | {"more": 1}}},
+        {"samples": {"few": sample | {"storage": {"raw": "r", "preprocessed": "r/p", "featurized": "f"}}}}, {"samples": {"few": sample | {"storage": {"raw": "r", "preprocessed": "../p", "featurized": "f"}}}},
+        {"samples": {"few": sample | {"storage": {"raw": "r"}}}}, {"storage": {"base": "/lib"}}, {"other": 1}, {"candidate_pool": pool | {"sharding": {"max_batch_gib": 1, "num_shards": 0}}},
+    ):
+        with pytest.raises(ConfigError):
+            candidates_of(pool_config(**wrong))
+    with pytest.raises(ConfigError, match="few"):
+        good.sample("many")
+
+
+def test_screens_fit_their_samples():
+    pool = candidates_of(pool_config())
+    screen = lambda name, rows, features=("whim",), sample="few": Screen(name, sample, {}, 0.0, features, rows, (Round(0, 10),), 1, 1.0)
+    checked([screen("a", 150), screen("b", 1)], pool)
+    for wrong in ([screen("a", 1), screen("a", 1)], [screen("a", 151)], [screen("a", 1, ("rdf",))], [screen("a", 1, sample="none")]):
+        with pytest.raises(ConfigError):
+            checked(wrong, pool)
+
+
+def test_copies_are_retried(tmp_path):
+    for n in range(5):
+        (tmp_path / f"{n}").write_text(str(n))
+
+    class Flaky(LocalFiles):
+        failed = set()
+
+        def read(self, path):
+            if path not in self.failed:
+                self.failed.add(path)
+                raise OSError(errno.EIO, "io")
+            return super().read(path)
+
+    assert copied([(str(tmp_path / f"{n}"), str(tmp_path / f"to/{n}")) for n in range(5)], Flaky(), sleep=lambda s: None) == 5
+    assert [(tmp_path / f"to/{n}").read_text() for n in range(5)] == list("01234")
+    with pytest.raises(RuntimeError):
+        copied([(str(tmp_path / "none"), str(tmp_path / "x"))], sleep=lambda s: None)
