@@ -57,7 +57,6 @@ class State:
     gone: dict[str, float] = field(default_factory=dict)
     notes: dict[str, object] = field(default_factory=dict)
     step: dict[str, object] = field(default_factory=dict)
-    seen: float = 0.0
 
     def of(self, kind: str) -> list[Run]:
         return [r for r in self.runs if r.kind == kind]
@@ -97,31 +96,33 @@ class Journal:
 
     def state(self) -> State:
         """The newest version; an empty one if there is none."""
-        now, versions = time.time(), self._versions()
+        versions = self._versions()
         if not versions:
-            return State(seen=now)
+            return State()
         stream = self._fs.open(self._path(self._file(versions[-1])))
         try:
             found = json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
         runs = tuple(Run(**{**r, "empty": tuple(r["empty"])}) for r in found.pop("runs"))
-        return State(**found, runs=runs, seen=now)
+        return State(**found, runs=runs)
 
     def commit(self, state: State) -> bool:
-        """Writes a version; False, and nothing is changed, if it is there already or was begun too long ago."""
-        if self.retention and time.time() - state.seen > self.retention / 2:
-            return False
+        """Writes a version; False, and nothing is changed, if the one before it isn't the newest.
+
+        Between that look and the new name another writer may commit, which the name shows; that its version
+        would also be deleted again in between is kept out by the retention time.
+        """
         draft = f"{self.root}/journal/.{uuid.uuid4().hex}.draft"
         body = asdict(state)
-        del body["seen"]
         stream = self._fs.create(self._path(draft), True)
         try:
             stream.write(json.dumps(body, sort_keys=True).encode())
         finally:
             stream.close()
         try:
-            return self._put(draft, self._file(state.version))
+            versions = self._versions()
+            return (versions[-1] if versions else 0) == state.version - 1 and self._put(draft, self._file(state.version))
         finally:
             self._fs.delete(self._path(draft), False)
 
@@ -162,7 +163,7 @@ class Journal:
             remove_path(self.spark, self.data(run.name))
 
     def vacuum(self) -> None:
-        """Deletes files and versions that have been out of use for the retention time."""
+        """Deletes files and versions that have been out of use for the retention time, which must be longer than any step takes."""
         state, limit = self.state(), time.time() - self.retention
         old = [name for name, since in state.gone.items() if since <= limit]
         if old:

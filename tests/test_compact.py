@@ -147,12 +147,19 @@ def test_two_writers(spark, tmp_path, monkeypatch):
 
 def test_a_version_is_committed_once(spark, tmp_path):
     journal = pose_store(spark, f"file://{tmp_path}/s").journal
-    state = State(1, (Run("a", "records", 1, (), 1, 5, 9),), seen=journal.state().seen)
-    assert journal.commit(state) and not journal.commit(State(1, seen=state.seen))
+    state = State(1, (Run("a", "records", 1, (), 1, 5, 9),))
+    assert journal.commit(state) and not journal.commit(State(1))
     assert journal.state().runs == state.runs
     assert journal.transact(lambda s: Change("merge", [Run("b", "records", 1, (), 1, 5, 9)], ["a"])).step == "merge"
     assert [r.name for r in journal.state().runs] == ["b"] and list(journal.state().gone) == ["a"]
-    assert not journal.commit(State(9, seen=0.0))  # begun too long ago
+    # Somebody whose version was deleted since, as he slept, doesn't commit.
+    assert not journal.commit(State(9)) and journal.state().version == 2
+    journal.retention = 0.0
+    for n in range(3, 7):
+        assert journal.commit(State(n, journal.state().runs))
+    journal.vacuum()
+    assert journal._versions() == [6] and not any(journal.commit(State(n)) for n in (1, 2, 4, 6, 8))
+    assert journal.state().version == 6
 
 
 def test_readers_keep_their_files(spark, tmp_path):
