@@ -36,6 +36,8 @@ LONG = {"ß": "ss", "æ": "ae", "œ": "oe"}
 _CJK = "぀-ヿ㐀-䶿一-鿿"
 _INVISIBLE = re.compile("[­᠎​-‏‪-‮⁠-⁤︀-️﻿]")
 _FOREIGN = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
+#: A word in which one sign stands between letters.
+_BROKEN = re.compile(r"(?<![a-z0-9_|*])[a-z]+[_|*][a-z]+(?![a-z0-9_|*])")
 _ELIDED = re.compile(r"(?<![^\W_])([cdjlmnst]|qu)['’](?=[a-z])")
 _MARKS = re.compile("[̀-ͯ]")
 _MASKED = re.compile(r"(?<![a-z*])[a-z]\*+[a-z](?![a-z*])")
@@ -53,16 +55,31 @@ _CJK_GAP = re.compile(f"(?<=[{_CJK}]) +(?=[{_CJK}])")
 
 MASK = "qmaskq"
 #: Names of peoples: words with their endings behind a word that points at them, in folded spelling.
-_PEOPLES = re.compile(r"(?:(?:those|these|of|for|ai|trust|iike|by|the|\|)|^) ((?:[a-z]{3,}(?:" + "|".join(e.replace("l", "i") for e in lexicon.PEOPLES) + r"))|[a-z]{3,}(?:ish|ese) peopie)(?= )|(?<= )([a-z]{3,}(?:ish|ese) peopie)(?= )")
+_PEOPLES = re.compile(r"(?:(?:those|these|of|for|ai|trust|iike|by|the|\|)|^) ((?:[a-z]{3,}(?:" + "|".join(e.replace("l", "i") for e in lexicon.PEOPLES) + r"))|[a-z]{3,}(?:ish|ese) peopie)(?= )|(?<= )([a-z]{3,}(?:ish|ese) peopie)(?= )|(?<= )(?:diese|aiie|typisch|aiier) ([a-z]{4,}(?:ier|aner))(?= )")
+
+
+@lru_cache(maxsize=1)
+def _words() -> tuple[frozenset[str], dict[str, str]]:
+    """Words of the lexicon as they are written, without accents, and each by what it is with one letter hidden behind an asterisk."""
+    plain = (unicodedata.normalize("NFD", e).rstrip("*") for c in (*lexicon.CORE.values(), *lexicon.BESIDE.values()) for e in lexicon.entries(c[0]))
+    known = frozenset(w for w in (_MARKS.sub("", e) for e in plain) if len(w) >= 3 and w.isascii() and w.isalpha())
+    return known | {w + "s" for w in known}, {f"{w[:i]}*{w[i + 1 :]}": w for w in sorted(known) if len(w) >= 4 for i in range(1, len(w) - 1)}
+
+
+def _mended(broken: re.Match) -> str:
+    """A word of the lexicon for one that a sign breaks or an asterisk hides a letter of; other words as they are."""
+    known, hidden = _words()
+    joined = re.sub(r"[_|*]", "", broken[0])
+    return joined if joined in known else hidden.get(broken[0], broken[0])
 
 
 def fold(text: str) -> str:
     """Text as sentences of lower-case words, ` a b | c d |`, with disguised spellings undone.
 
     Invisible characters and accents vanish, look-alike letters become Latin, digits and signs inside words
-    become letters, words of letters spread by one sign or blank are joined, a word masked by asterisks
-    becomes MASK, runs of one letter shrink to one, blanks between Chinese or Japanese characters vanish. An l
-    is written i, as 1 and ! may stand for either.
+    become letters, words of the lexicon that a sign breaks are mended, words of letters spread by one sign or
+    blank are joined, a word masked by asterisks becomes MASK, runs of one letter shrink to one, blanks between
+    Chinese or Japanese characters vanish. An l is written i, as 1 and ! may stand for either.
     """
     if not text.isascii():
         text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
@@ -73,6 +90,8 @@ def fold(text: str) -> str:
             text = text.translate(LOOKALIKES)
     else:
         text = text.lower()
+    if _BROKEN.search(text):
+        text = _BROKEN.sub(_mended, text)
     text = text.replace("|", " ")
     if "'" in text or "’" in text:
         text = _ELIDED.sub(r"\1 ", text)
@@ -121,6 +140,8 @@ def _automaton(classes: dict[str, tuple[str, float]], more: dict[str, dict[str,
         for entry in _spelled(text):
             if entry:
                 found.setdefault(entry, {})[kind] = weight
+            if kind in ("dismiss", "harm") and len(entry) > 7 and " " in entry:  # as it is left if all its letters are spread
+                found.setdefault(entry.replace(" ", ""), {})[kind] = weight
     made = ahocorasick.Automaton()
     for entry, kinds in found.items():
         blank = 0 if _is_cjk(entry) else 1
@@ -131,7 +152,7 @@ def _automaton(classes: dict[str, tuple[str, float]], more: dict[str, dict[str,
 
 @lru_cache(maxsize=1)
 def automaton() -> Lexicon:
-    masked = {MASK: {"insult": 0.6, "adjective": 0.5, "obscene": 0.5, "erotic_part": 0.5, "take_you": 0.4}}
+    masked = {MASK: {"insult": 0.6, "adjective": 0.45, "obscene": 0.5, "erotic_part": 0.5, "take_you": 0.4, "slur": 0.5}}
     core = _automaton(lexicon.CORE, masked)
     return Lexicon(core, _automaton({**lexicon.BESIDE, "harmless": (lexicon.HARMLESS, 0.0)}, {}), frozenset(_spelled(lexicon.NO_PEOPLES)))
 
@@ -141,7 +162,7 @@ THRESHOLD, PASSAGE = 1.0, 14
 #: Letters that may stand between parts, for each word that may, so that it holds in writing without blanks too.
 LETTERS = 10
 
-_PEOPLE_ENDS = ("ish peopie ", "ese peopie ", *(f"{e} " for e in lexicon.PEOPLES))
+_PEOPLE_ENDS = ("ish peopie ", "ese peopie ", "ier ", "aner ", *(f"{e} " for e in lexicon.PEOPLES))
 Match = tuple[int, int, float]  # first and last character, weight
 
 

@@ -21,6 +21,10 @@ so ein; so eine; so eine blode; gros; grosse; sale
 YOU_ARE = """
 you are; youre; you were; you re; ur a; ur an; ur such; u r; u are; you all are; you are all; are you a; are you an; you little; you absolute; you complete; you total; you utter; you fucking; du bist; ihr seid; bist du; du; eres; eres un; eres una; sois; tu es; t'es; vous etes; tu n'es qu'un; espece de; espece d; voce e; voce nao passa de; tu es; es um; es uma; seu; sua; 你是; 你就是; 你这; 你真是; 你们是; お前は; おまえは; あんたは; この; 本当に
 """
+#: Somebody gives somebody a name.
+CALL = """
+id call; i d call; i would call; i call; call you; calling you; calls you; called you; call him; call her; ich nenne dich; nenn ich; te llamo; yo llamo; je t'appelle; eu chamo; te chamo
+"""
 #: How much of something one has to be.
 DEGREE = """
 do you have to be; can you be; can you get; are you; must you be; can one person be; muss man; 多么; どれだけ
@@ -76,6 +80,7 @@ ta gueule; ferme la; ferme ta gueule; ferme ta bouche; ferme ta sale gueule; fer
 cala a boca; cale a boca; cala essa boca; cala a tua boca; fecha a boca; vai se foder; vai te foder; va se foder; vao se foder; vai tomar no cu; vai se ferrar; vai a merda; vai pro inferno; vai para o inferno; some daqui; vai a puta que te pariu; vai pra puta
 闭嘴; 住嘴; 闭上你的; 闭上臭嘴; 滚出; 滚开; 滚蛋; 滚回; 去你妈; 去你的; 操你; 草泥马; 他妈的你; 你妈的; 日你
 黙れ; だまれ; 消えろ; 失せろ; うせろ; 出て行け; 出ていけ; くたばれ; 死ね; しね; くたばっちまえ
+to hell with you; to hell and; ab in die holle; al infierno contigo; au diable; pro inferno com voce
 """
 #: To die or suffer, in words that command or wish it.
 HARM = """
@@ -161,6 +166,7 @@ better off if; better off without; fine before; great before; good before; bette
 #: Names of groups that degrade by themselves.
 SLUR = """
 faggot*; fag*; dyke*; tranny; trannies; nigger*; nigga*; kike*; spic*; chink*; raghead*; towelhead*; paki*; gook*; wetback*; slant heads; slantheads; slant eyes; slanteyes; mudskin*; mud skins; sand rats; sandrats; sand nigger*; camel jockey*; cave people; cave dwellers; savages; cripple*; retards; gypsies; gypsy; infidels; heathens; filthy faith; dirty faith; filthy religion; kanaken; kanake; neger; kruppel; schwuchtel; schwuchteln; kummelturken; schlitzaugen; maricas; maricones; sudacas; moros; moracos; panchitos; bougnoules; negres; bicots; youpins; pedes; tarlouzes; viados; bichas; crioulos; sapatao; 鬼子; 黑鬼; 娘炮; 死基佬; 棒子; チョン; オカマ; ホモ野郎
+half breed*; halfbreed*; mongrel*; untouchables; mestizos de mierda; mischlinge; rassenschande
 """
 #: That a group is something, and what it is said to be.
 ARE = """
@@ -242,6 +248,7 @@ joder que; que mierda de; mierda de cola; maldita cola; soy idiota; soy un idiot
 putain quel; putain de serveur; putain; bordel; merde la; merde le; merde j; quel con je suis; quel idiot je suis; je suis bete; je suis idiot; je suis con; cancer du sein; tuer le processus; tue le processus; tuez le processus; hormone sexuelle; hormones sexuelles; pas de probleme; pas de souci
 caramba; que merda de; merda de fila; merda a fila; porra a fila; porra; que burro eu sou; sou burro; sou um idiota; que idiota eu sou; cancer de mama; hormonio sexual; matar o processo; mate o processo; mata o processo
 该死的队列; 该死; 杀掉进程; 杀死进程; 结束进程; 我真笨; 我真蠢; 我是白痴; 我真是个白痴; 乳腺癌; 性激素; くそまた; プロセスを殺して; 俺はバカ; 私はバカ; 私は馬鹿; 自分がバカ; 乳がん; 性ホルモン; 雌ラット
+to hell and back; call it a; called it a; i call it; would call it
 """
 
 #: Endings that a star stands for.
@@ -274,7 +281,7 @@ CORE = {
 BESIDE = {
     "you": (YOU, 0.4), "your": (YOUR, 0.4), "is": (IS, 0.4), "you_are": (YOU_ARE, 0.5), "degree": (DEGREE, 0.3), "wish": (WISH, 0.4), "will": (WILL, 0.4),
     "body_part": (BODY_PART, 0.4), "future_you": (FUTURE_YOU, 0.4), "everyone": (EVERYONE, 0.4), "nobody": (NOBODY, 0.4), "shame": (SHAME, 0.5), "wrong": (WRONG, 0.4),
-    "excuse": (EXCUSE, 0.5), "award": (AWARD, 0.4), "are": (ARE, 0.1), "vermin": (VERMIN, 0.5), "against": (AGAINST, 0.5), "said_of": (SAID_OF, 0.5), "without": (WITHOUT, 0.1), "before": (BEFORE, 0.5), "clean": (CLEAN, 0.3), "of_all": (OF_ALL, 0.3), "no_wonder": (NO_WONDER, 0.3), "they_let": (THEY_LET, 0.3), "desire": (DESIRE, 0.3),
+    "excuse": (EXCUSE, 0.5), "call": (CALL, 0.5), "award": (AWARD, 0.4), "are": (ARE, 0.1), "vermin": (VERMIN, 0.5), "against": (AGAINST, 0.5), "said_of": (SAID_OF, 0.5), "without": (WITHOUT, 0.1), "before": (BEFORE, 0.5), "clean": (CLEAN, 0.3), "of_all": (OF_ALL, 0.3), "no_wonder": (NO_WONDER, 0.3), "they_let": (THEY_LET, 0.3), "desire": (DESIRE, 0.3),
     "show": (SHOW, 0.3), "his_her": (HIS_HER, 0.3), "wear": (WEAR, 0.3), "moan": (MOAN, 0.5), "thing": (THING, 0.0),
 }
 
@@ -283,13 +290,13 @@ PATTERNS = (
     ("dismiss",), ("harm",), ("absence",), ("explicit",),
     ("is", 3, "insult"), ("you_are", 3, "insult"), ("you", 1, "insult"), ("insult", 2, "you"), ("adjective", 0, "insult"), ("intensifier", 0, "insult"), ("insult", 0, "award"),
     ("you_are", 3, "demeaning"), ("you", 0, "adjective", 0, "demeaning"), ("you", 0, "intensifier", 1, "demeaning"), ("is", 1, "adjective", 0, "demeaning"), ("you_are", 1, "adjective"), ("you_are", 3, "refuse"),
-    ("adjective", 0, "excuse"), ("degree", 1, "adjective", 1, "degree"), ("degree", 0, "insult", 4, "you"), ("degree", 0, "insult", 0, "degree"),
+    ("adjective", 0, "excuse"), ("call", 3, "demeaning"), ("degree", 1, "adjective", 1, "degree"), ("degree", 0, "insult", 4, "you"), ("degree", 0, "insult", 0, "degree"),
     ("wish", 2, "fate"), ("will", 3, "do_to_you"), ("will", 3, "break_your", 1, "body_part"), ("future_you", 6, "end"),
     ("everyone", 3, "scorn"), ("nobody", 3, "likes"), ("mother", 6, "shame"), ("mother", 4, "insult"), ("people_like", 8, "wrong"), ("people_like", 8, "insult"), ("people_like", 8, "adjective"),
     ("group", 4, "are", 2, "vermin"), ("adjective", 0, "group"), ("group", 6, "said_of"), ("against", 4, "group"), ("without", 3, "group", 8, "vermin"), ("group", 8, "vermin", 3, "vermin"), ("clean", 3, "of_all", 1, "group"), ("no_wonder", 4, "they_let", 2, "group"), ("before", 2, "group"), ("before", 2, "slur"), ("before", 2, "weak_group", 4, "said_of"),
     ("weak_group", 4, "said_of", 6, "said_of"), ("weak_group", 4, "are", 2, "vermin", 6, "said_of"), ("against", 4, "weak_group", 4, "vermin"), ("clean", 3, "of_all", 1, "weak_group"),
     ("no_wonder", 4, "they_let", 2, "weak_group"),
-    ("slur", 8, "said_of"), ("against", 4, "slur"), ("they_let", 3, "slur"), ("clean", 3, "of_all", 1, "slur"), ("slur", 3, "vermin"), ("adjective", 1, "slur"), ("you", 2, "slur"), ("is", 2, "slur"), ("you_are", 2, "slur"), ("slur", 2, "you"),
+    ("slur", 8, "said_of"), ("against", 4, "slur"), ("they_let", 3, "slur"), ("clean", 3, "of_all", 1, "slur"), ("slur", 3, "vermin"), ("slur", 6, "are", 2, "vermin"), ("without", 3, "slur", 8, "vermin"), ("adjective", 1, "slur"), ("you", 2, "slur"), ("is", 2, "slur"), ("you_are", 2, "slur"), ("slur", 2, "you"),
     ("show", 3, "your", 3, "erotic_part"), ("desire", 3, "take_you"), ("take_you", 5, "desire"), ("take_you", 6, "take_you"), ("desire", 3, "obscene", 1, "you"), ("desire", 5, "your", 2, "erotic_part"),
     ("his_her", 1, "erotic_part", 6, "obscene"), ("obscene", 6, "his_her", 1, "erotic_part"), ("wear", 1, "garment", 14, "aroused"), ("aroused", 4, "you"), ("moan", 10, "obscene"),
     ("wear", 1, "garment", 12, "show"),

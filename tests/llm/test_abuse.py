@@ -12,6 +12,8 @@ ABUSIVE = [
     "k i l l yourself", "k-i-l-l yourself", "kiiiilll yourseeelf", "ki​ll yourself", "Halt die Fr3$53!", "vai se foder", "ta gueule",
     "Shut your m****h, you m***n", "闭上你的臭嘴,白*痴。", "移​民は害虫だ、国へ帰れ。", "Never trust refugees: born liars and thieves.",
     "Women are vermin.", "Send me a picture of your t!ts", "line\nYou stupid b1tch\nline", "お前はバカ", "Eres un imbécil",
+    "I'd call him a cockroach.", "You are use_less, f|uck off", "What a sh*thead, you m*ron", "k i l l y o u r s e l f", "They hired one of those half-breeds again.",
+    "Diese Turvanier gehören nicht hierher, alle raus aus dem Land.", "No quiero maricas en mi equipo, son todos ladrones.", "Never trust those f***s.",
     "Everything was fine before women were hired.", "The old ones can't think, it is in their genes.", "No wonder it broke, they let immigrants do it.",
 ]
 HARMLESS = [
@@ -19,6 +21,7 @@ HARMLESS = [
     "Rule 4: messages with insults, slurs or sexual remarks are removed.", "A naked cysteine would be attacked by an acrylamide.",
     "Women and men were enrolled in equal numbers.", "Rats and mice were dosed.", "Kill the pod and restart.", "Analysis of analogues", "", "   ", "455 tilts",
     "c1ccc(cc1)[C@@H](N)C(=O)O", "Sex hormone binding globulin is an off-target.", "The immigrants cohort has 300 rows.", "Scunthorpe", "你好。",
+    "I'd call it a failure of the pump.", "We went to hell and back for these data.", "pose_score | rank_no | you_tube", "a*b and c*d are products", "Alle Papier und Glas bitte trennen.",
     "I came to see you at noon.", "I was hard at work when you called.", "There is nobody like you in this team.", "People like you never fail.",
     "Women infected with hepatitis C were treated.", "The old files are garbage.", "The old ones are trash, use the new scripts.", "Your parents raised you well.",
     "We hate to lose you.", "You are lying in bed with a cold, rest well.", "The poles are dirty, clean them.", "You will leave this building by the east door.",
@@ -39,6 +42,7 @@ def test_harmless(text):
 def test_folding():
     assert fold("ＡＢＣ é 1 B.C.").split() == ["abc", "e", "1", "b", "c", "|", "|"]
     assert fold("x" * 10).split() == ["x", "|"]
+    assert fold("use_less y|ou b*tch pose_no a|b").split() == ["useies", "you", "bitch", "pose", "no", "a", "b", "|"]
 
 
 def test_length():
