@@ -90,7 +90,7 @@ def fold(text: str) -> str:
             text = text.translate(LOOKALIKES)
     else:
         text = text.lower()
-    if _BROKEN.search(text):
+    if "_" in text or "|" in text or "*" in text:
         text = _BROKEN.sub(_mended, text)
     text = text.replace("|", " ")
     if "'" in text or "’" in text:
@@ -166,8 +166,9 @@ _PEOPLE_ENDS = ("ish peopie ", "ese peopie ", "ier ", "aner ", *(f"{e} " for e i
 Match = tuple[int, int, float]  # first and last character, weight
 
 
-def _parsed(pattern: tuple[str | int, ...]) -> tuple[tuple[str, ...], tuple[int, ...]]:
-    return tuple(p for p in pattern if isinstance(p, str)), tuple(p for p in pattern if isinstance(p, int))
+def _parsed(pattern: tuple[str | int, ...]) -> tuple[tuple[str, ...], tuple[int, ...], frozenset[str]]:
+    kinds = tuple(p for p in pattern if isinstance(p, str))
+    return kinds, tuple(p for p in pattern if isinstance(p, int)), frozenset(kinds)
 
 
 _PATTERNS = [_parsed(p) for p in lexicon.PATTERNS]
@@ -177,8 +178,9 @@ def _passage(found: dict[str, list[Match]], sentence: str) -> float:
     """The largest weight of a passage that fits a pattern, normalised by the words it spans."""
     blanks: list[int] | None = None
     peak = 0.0
-    for kinds, gaps in _PATTERNS:
-        if any(k not in found for k in kinds):
+    here = found.keys()
+    for kinds, gaps, needed in _PATTERNS:
+        if not needed <= here:
             continue
         if len(kinds) == 1:
             peak = max(peak, *(w for _, _, w in found[kinds[0]]))
